@@ -18,8 +18,6 @@ rows with equal id and size are interchangeable; other columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -6,10 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinloom.llm import apportion, quality_ratio
+from kinloom.llm import apportion, decontaminate, interpolated_lm, jaccard_join, quality_ratio, secret_ledger
 from kinloom.llm.common import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secret_ledger.scan_secrets(table(spark, sf_dir, "documents"))
+    return found
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apportion.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -22,8 +35,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_mix_sources, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_decontaminate, op4_jaccard_join, op6_secret_ledger, op7_mix_sources, op8_quality_rules, op9_interpolated_lm)}
 
 
 def oracle_sql() -> dict[str, str]:
