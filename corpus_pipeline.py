@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinloom.llm import apportion, quality_ratio
+from kinloom.llm import apportion, decontaminate, jaccard_join, quality_ratio, secret_ledger
 from kinloom.llm.common import settle, table
 
 
@@ -18,6 +18,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_ratio.judge_quality(docs, ratios).where("kept").select(*docs.columns)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of every group of near copies.
+
+    Rows without an id, or without words, are groups of their own and stay; of
+    repeated rows one stays.
+    """
+    groups = jaccard_join.jaccard_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(groups, "doc_id", "left_anti").select(*docs.columns)
+    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return named.unionByName(kept.where("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    return decontaminate.without_leaks(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked."""
+    return secret_ledger.mask_secrets(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How many words of each document the mixture takes."""
     return apportion.mix_sources(docs)
@@ -25,6 +47,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secrets),
     ("mixing sources to target weights", mix),
 ]
 
