@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinloom.llm import apportion, decontaminate, interpolated_lm, jaccard_join, quality_ratio, secret_ledger
+from kinloom.llm import apportion, arc_convert, decontaminate, interpolated_lm, jaccard_join, quality_fm, quality_ratio, secret_ledger
 from kinloom.llm.common import table
 
 
@@ -14,10 +14,19 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_fm.score_quality(docs, quality_fm.fit_machine(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_archive_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_convert.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secret_ledger.scan_secrets(table(spark, sf_dir, "documents"))
     return found
@@ -40,7 +49,7 @@ def op9_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op4_jaccard_join, op6_secret_ledger, op7_mix_sources, op8_quality_rules, op9_interpolated_lm)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_factorisation_machine, op4_jaccard_join, op5_archive_converter, op6_secret_ledger, op7_mix_sources, op8_quality_rules, op9_interpolated_lm)}
 
 
 def oracle_sql() -> dict[str, str]:
