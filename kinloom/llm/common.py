@@ -66,3 +66,14 @@ def n_words(text: Column) -> Column:
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as ''."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
+
+
+def without_ids(rows: DataFrame, ids: DataFrame, key: str = "doc_id", most_broadcast: int = 1_000_000) -> DataFrame:
+    """Rows whose key is not among ``ids``; rows with a null key stay.
+
+    The ids are counted first: up to ``most_broadcast`` (8 bytes each) are broadcast
+    and the rows stay where they are, more are joined by a shuffle.
+    """
+    ids = settle(ids.select(key).where(F.col(key).isNotNull()).distinct(), "ids")
+    side = F.broadcast(ids) if ids.count() <= most_broadcast else ids
+    return rows.join(side, key, "left_anti").select(*rows.columns)

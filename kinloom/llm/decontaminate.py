@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinloom.llm import grams
-from kinloom.llm.common import settle
+from kinloom.llm.common import settle, without_ids
 
 BITS = 22
 _DROP = string.punctuation.encode()
@@ -166,4 +166,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, k: int = 3, least: float = 0
 
 def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is in no leak."""
-    return docs.join(found.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, found)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinloom.llm import apportion, arc_convert, decontaminate, interpolated_lm, jaccard_join, quality_fm, quality_ratio, secret_ledger
+from kinloom.llm import apportion, arc_convert, chat_quotes, decontaminate, interpolated_lm, jaccard_join, license_scan, quality_fm, quality_ratio, secret_ledger
 from kinloom.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score_quality(docs, quality_fm.fit_machine(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_quotes.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
@@ -48,8 +52,26 @@ def op9_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (
+    op1_decontaminate,
+    op2_factorisation_machine,
+    op3_quotation_links,
+    op4_jaccard_join,
+    op5_archive_converter,
+    op6_secret_ledger,
+    op7_mix_sources,
+    op8_quality_rules,
+    op9_interpolated_lm,
+    op10_license_scan,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_factorisation_machine, op4_jaccard_join, op5_archive_converter, op6_secret_ledger, op7_mix_sources, op8_quality_rules, op9_interpolated_lm)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
