@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kinloom.llm import apportion, decontaminate, jaccard_join, quality_ratio, secret_ledger
-from kinloom.llm.common import settle, table
+from kinloom.llm.common import settle, table, without_ids
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,10 +24,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without an id, or without words, are groups of their own and stay; of
     repeated rows one stays.
     """
-    groups = jaccard_join.jaccard_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_anti").select(*docs.columns)
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    groups = settle(jaccard_join.jaccard_groups(docs).select("doc_id", "component_id"), "groups")
+    others = groups.where("doc_id <> component_id").select("doc_id")
+    repeated = settle(groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    kept = without_ids(docs, others.unionByName(repeated))
+    once = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return kept.unionByName(once)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
