@@ -30,7 +30,7 @@ LANDMARK = r"(?i)^(?:near|opp\.?|opposite|behind|beside|next to)(?![\p{L}\p{N}_]
 
 def let(value: Column, body) -> Column:
     """``body(x)`` with ``value`` computed once for all its uses."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
 def text(c) -> Column:

@@ -108,8 +108,9 @@ def candidate_lists(queries: DataFrame, pairs: DataFrame, row: str) -> DataFrame
     """
     wanted = pairs.where(F.col("cand").startswith("S2-") | F.col("cand").startswith("S3-"))
     lists = wanted.groupBy(row).agg(F.collect_set("cand").alias("ids"))
-    named = queries.withColumn("entity_id", T.strip_space("entity_id")).where("entity_id <> ''").select(row, "entity_id")
-    return named.join(lists, row, "left").select(row, "entity_id", F.coalesce(T.encode_ids(F.col("ids")), F.lit("")).alias("candidate_entity_ids"), F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n"))
+    told = list(dict.fromkeys([row, "entity_id"]))
+    named = queries.withColumn("entity_id", T.strip_space("entity_id")).where("entity_id <> ''").select(*told)
+    return named.join(lists, row, "left").select(*told, F.coalesce(T.encode_ids(F.col("ids")), F.lit("")).alias("candidate_entity_ids"), F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n"))
 
 
 def run_stats(queries: DataFrame, lists: DataFrame) -> DataFrame:
