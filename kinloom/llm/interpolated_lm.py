@@ -232,7 +232,7 @@ def _scored(key, left: pa.Table, right: pa.Table, parts: int, n: int, v: int, st
     base = np.log10((word + 0.1) / (n + 0.1 * (v + 1)))
     with np.errstate(divide="ignore", invalid="ignore"):
         two = np.where(context > 0, pair / context, 0.0)
-    w = mixture[_levels(context)]
+    w = mixture[_levels(context)] if n else np.array([[0.0, 0.0, 1.0]])
     p = w[:, 0] * two + w[:, 1] * (word / n if n else 0.0) + w[:, 2] / (v + 1)
     begins = np.concatenate([[0], chunk["ends"][:-1]]).astype(np.int64)
     ends = np.asarray(chunk["ends"], np.int64)

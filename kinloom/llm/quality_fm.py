@@ -111,6 +111,7 @@ class Machine:
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.1, decay: float = 1e-4, seed: int = 7) -> None:
         """Logistic loss, AdaGrad over seeded batches, in one thread."""
         if not rows:
+            self.v[:] = 0
             return
         g0, gw, gv = 1e-6, np.full(SIZE, 1e-6), np.full((SIZE, FACTORS), 1e-6)
         draw = np.random.default_rng(seed)

@@ -123,7 +123,7 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: dict =
 def _masked(batches):
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        for i, found in enumerate(batch.column("spans").to_pylist()):
+        for i, found in enumerate(batch.column("_spans").to_pylist()):
             if not found:
                 continue
             out, at, text = [], 0, texts[i]
@@ -133,7 +133,7 @@ def _masked(batches):
                 at = max(at, int(b))
             texts[i] = "".join(out) + text[at:]
         at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["spans"])
+        yield batch.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["_spans"])
 
 
 def mask_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
@@ -146,9 +146,9 @@ def mask_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     found = settle(findings(new if ledger is None else ledger.unionByName(new)).select("blob", "spans"), "findings")
     keyed = docs.withColumn("_blob", F.unhex(F.sha2(_text(), 256)))
     small = found.count() <= 1_000_000
-    side = found.withColumnRenamed("blob", "_blob")
+    side = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
     marked = keyed.join(F.broadcast(side) if small else side, "_blob", "left").drop("_blob")
-    masked = marked.where("spans is not null").mapInArrow(_masked, docs.schema)
+    masked = marked.where("_spans is not null").mapInArrow(_masked, docs.schema)
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return marked.where("spans is null").drop("spans").unionByName(masked).select(*docs.columns)
+    return marked.where("_spans is null").drop("_spans").unionByName(masked).select(*docs.columns)
