@@ -7,6 +7,7 @@ written as Parquet and read again as the next stage's ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinloom.llm import apportion, decontaminate, jaccard_join, quality_ratio, secret_ledger
 from kinloom.llm.common import settle, table, without_ids
@@ -15,7 +16,8 @@ from kinloom.llm.common import settle, table, without_ids
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the likelihood ratio let through."""
     ratios = quality_ratio.fit_ratio(docs, table(spark, sf_dir, "labels"))
-    return quality_ratio.judge_quality(docs, ratios).where("kept").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+    return quality_ratio.judge_quality(rows, ratios).where("kept").select("_row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
