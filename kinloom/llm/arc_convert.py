@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import shared_dir
+from kinloom.llm.common import shared_dir, ship
 
 FIELDS = {
     1: ("url", "ip", "date", "mime", "length"),
@@ -170,6 +170,7 @@ def write_warc(pages: DataFrame, path: str, records_per_file: int = 5000) -> Non
     Spark's text writer puts the separator after each record, which is what
     ends a WARC record, so any store that Spark writes to can hold the files.
     """
+    ship(pages.sparkSession)
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", body.alias("payload"), F.sha2(body, 256).alias("digest"))
     marked = rows.join(originals(pages), "digest", "left").select("page_id", "url", "payload", "original")
@@ -204,6 +205,7 @@ def _read(batches):
 
 def read_archives(spark, path: str) -> DataFrame:
     """One row per record of the WARC files under ``path``, payloads checked."""
+    ship(spark)
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, target_uri string, warc_date string")
 
@@ -224,4 +226,5 @@ def convert_arc_files(spark, path: str) -> DataFrame:
                 out = [warc_record(r, None, None).replace(record_id("page", None).encode(), record_id(r["url"], r["date"], r["at"]).encode(), 1) for r in read_arc(content.as_py())]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(body, "record binary")

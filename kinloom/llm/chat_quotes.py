@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import settle
+from kinloom.llm.common import settle, ship
 
 _MARKS = re.compile(r"^\s{0,3}((?:>\s?)+)")
 MIN_CHARS = 4
@@ -82,6 +82,7 @@ def _parsed(batches):
 
 def link_quotes(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsed messages, and ``mid, depth, conv_id, turn, from_conv, from_turn`` per linked passage."""
+    ship(messages.sparkSession)
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), "text").withColumn("mid", F.monotonically_increasing_id())
     parsed = settle(
         rows.mapInArrow(_parsed, "mid long, conv_id long, turn long, role string, body string, quotes array<struct<depth long, key binary>>, offers array<binary>"), "messages"

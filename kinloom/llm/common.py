@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per Spark context."""
+    context = spark.sparkContext
+    top = Path(__file__).resolve().parents[1]
+    if getattr(context, "_kinloom_shipped", False) or not top.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="kinloom-")) / "kinloom-sources.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    context.addPyFile(str(path))
+    context._kinloom_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinloom.llm import grams
-from kinloom.llm.common import settle, without_ids
+from kinloom.llm.common import settle, ship, without_ids
 
 BITS = 22
 _DROP = string.punctuation.encode()
@@ -133,6 +133,7 @@ def _aligned(batches):
 def leaks(docs: DataFrame, benchmark: DataFrame, *, k: int = 3, least: float = 0.6) -> DataFrame:
     """``doc_id, item_id, score, end_word, item_words`` of every leak, best passage each."""
     spark = docs.sparkSession
+    ship(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
     items = settle(items.mapInArrow(partial(_item_grams, k=k), "item_id long, n_words long, words binary, grams array<long>").where("n_words > 0").distinct(), "items")
     slot = F.shiftrightunsigned("gram", 64 - BITS)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinloom.llm import grams
-from kinloom.llm.common import fold, settle
+from kinloom.llm.common import fold, settle, ship
 
 END, START = np.uint64(0xE4D), np.uint64(0x57A27)
 #: Kinds of chunks by fold: scored only, deleted from the counts when fitting, counted.
@@ -249,6 +249,7 @@ def score_texts(docs: DataFrame, *, folds: int = 10, chunk_tokens: int = 1_000_0
     Fold 0 is scored only, fold 1 is deleted from the counts for fitting.
     A text longer than ``chunk_tokens`` makes one longer chunk.
     """
+    ship(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), fold(F.col("doc_id"), folds).cast("int").alias("fold"))
     made = source.mapInArrow(partial(_chunked, chunk_tokens=chunk_tokens), "kind int, docs array<long>, ends array<long>, words binary, tokens binary, n long")
     chunks = settle(made.withColumn("chunk", F.monotonically_increasing_id()), "chunks")

@@ -25,6 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinloom.llm.common import ship
 from kinloom.llm.license_templates import CUES, TEMPLATES
 
 REACH = 2000
@@ -143,5 +144,6 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
                         x.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["doc_id", "license", "start", "end", "reduction", "missing", "extra", "exact"])
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(body, "doc_id long, license string, start long, end long, reduction double, missing string, extra string, exact boolean")

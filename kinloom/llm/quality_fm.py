@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import fold
+from kinloom.llm.common import fold, ship
 
 BITS, FACTORS, BINS = 15, 8, 16
 _UPPER = bytes(range(65, 91))
@@ -73,22 +73,27 @@ def statistics(data: bytes, parts: list[bytes], distinct: int, on_record: int |
     ]
 
 
+class Slots(dict):
+    """Slots by word; emptied when full."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 400_000:
+            self.clear()
+        self[word] = slot = zlib.crc32(word) & ((1 << BITS) - 1)
+        return slot
+
+
 class Features:
     """Feature numbers and values of a text."""
 
     def __init__(self):
-        self.slots: dict[bytes, int] = {}
+        self.slots = Slots()
 
     def __call__(self, text: bytes | None, on_record: int | None) -> tuple[np.ndarray, np.ndarray]:
         data = text or b""
         parts = data.split()
         own = set(parts)
-        slots = self.slots
-        if len(slots) > 400_000:
-            slots.clear()
-        for w in own - slots.keys():
-            slots[w] = zlib.crc32(w) & ((1 << BITS) - 1)
-        hashed = sorted({slots[w] for w in own})
+        hashed = sorted(set(map(self.slots.__getitem__, own)))
         bins = [(1 << BITS) + BINS * i + b for i, b in enumerate(statistics(data, parts, len(own), on_record))]
         values = np.ones(len(hashed) + len(bins))
         if hashed:
@@ -156,6 +161,7 @@ def fit_machine(docs: DataFrame, labels: DataFrame, *, folds: int = 5, max_train
     At most ``max_train`` labels, the first by a hash of the id, are learned: the
     ids broadcast and the features collected are bounded by it.
     """
+    ship(docs.sparkSession)
     usable = labels.where("doc_id is not null and quality in (0, 1)").where(fold(F.col("doc_id"), folds) != 0)
     one = usable.groupBy("doc_id").agg(F.max("quality").alias("label"))
     chosen = one.withColumn("draw", F.xxhash64("doc_id")).orderBy("draw", "doc_id").limit(max_train)
@@ -168,6 +174,7 @@ def fit_machine(docs: DataFrame, labels: DataFrame, *, folds: int = 5, max_train
 
 def score_quality(docs: DataFrame, machine: Machine, *, folds: int = 5, least: float = 0.3) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
     def scored(batches):

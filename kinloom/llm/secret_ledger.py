@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import settle
+from kinloom.llm.common import settle, ship
 
 #: Rules by kind, in order: (version, pattern, group, least length of that group).
 #: A run of hexadecimal digits starts where none stands before it.
@@ -67,6 +67,7 @@ def blobs_of(docs: DataFrame) -> DataFrame:
 
 def update_ledger(docs: DataFrame, ledger: DataFrame | None = None, rules: dict = RULES) -> DataFrame:
     """Ledger rows for the pairs of blob and rule version that ``ledger`` lacks."""
+    ship(docs.sparkSession)
     current = [F.lit(k) for k in rules]
     held = blobs_of(docs).withColumn("holder", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     first = held.groupBy("blob").agg(F.min("holder").alias("holder"))
