@@ -382,3 +382,30 @@ def test_licenses(spark, odd, none):
 def test_license_lines_of_the_corpus(spark, sf, texts):
     got = {r.doc_id for r in queries()["op10_license_scan"](spark, sf).collect()}
     assert got == {i for i, t in texts if any(x in t for x in ("Licensed under CC BY-NC 4.0.", "Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."))}
+
+
+def test_sketches_never_refuse_a_link():
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    for n in (300, 2100, 4095, 4097, 9000):
+        a = np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.concatenate([a[n // 30 :], draw.integers(0, 1 << 63, n // 90, dtype=np.uint64)])
+        size = lambda x: 1 << (len(x) - 1).bit_length()
+        apart = jaccard_join.far_apart(jaccard_join.parity_bits(a, size(a)), jaccard_join.parity_bits(b, size(b)))
+        assert 0 < apart <= len(np.setxor1d(a, b))
+
+
+def test_long_near_copies(spark):
+    words = [f"w{i * i % 7919}x{i}" for i in range(5000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:4900])), (3, " ".join(words[:4000])), (4, " ".join(f"v{i}" for i in range(5000))), (5, " ".join(words[300:]))]
+    got = by_id(jaccard_join.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"), bits=8), "n_shingles", "component_id", "n_links")
+    assert got == brute.jaccard_groups(rows)
+
+
+@pytest.mark.parametrize("name", ["op4_jaccard_join", "op5_archive_converter", "op7_mix_sources"])
+def test_queries_equal_their_sql(spark, sf, name):
+    from kinloom.llm.queries import oracle_sql
+    from oracle import same
+
+    same(spark, sf, queries()[name], oracle_sql()[name])
