@@ -3,15 +3,16 @@
 Every document is the set of its distinct n-grams. Documents with one set form a
 class, and classes are joined:
 
-* a total order puts rare n-grams first. It follows a table of ``2 ** bits`` counts
-  over the whole corpus; equal sets of any order give the same join, so the table
-  need only separate the frequent from the rare;
+* a total order puts rare n-grams first, by two tables of ``2 ** bits`` counts over the
+  whole corpus: of n-grams, for those that many texts share, and of words, for
+  those of common words. Any order gives the same join; a good one few candidates;
 * two sets that reach the threshold share an n-gram among the first ``n - need + 1``
   of each (prefix filter), and at the first shared one enough must be left
   (positional filter) in sets of like size (length filter);
 * 512 parity bits per set (each n-gram flips one) bound the symmetric difference
   from below and so refuse, without loss, most of what the other filters pass
-  (suffix filter over the whole set);
+  (suffix filter over the whole set); pairs of long sets, which fill 512 bits, are
+  compared once more by bits in proportion to their size;
 * a pair is taken at its first shared n-gram, told by the few shared ones before
   it, made distinct, and verified once on the full sets.
 
@@ -34,31 +35,65 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinloom.llm import grams
-from kinloom.llm.common import settle
+from kinloom.llm.common import settle, ship
 from kinloom.llm.graph import components
 
 SKETCH_LONGS = 8
-LAST = 4
+#: Sets larger than this have a second sketch, of a bit per one to two n-grams.
+LONG_SET = 2048
+LAST = 2
 
 
 def _frequencies(batches, k: int, bits: int):
-    known, counts = grams.WordHashes(), np.zeros(1 << bits, np.int64)
+    """Counts by bucket: of n-grams once per text, and (from ``2 ** bits`` on) of words."""
+    known, counts = grams.WordHashes(), np.zeros(2 << bits, np.int64)
+    shift = np.uint64(64 - bits)
+    pending, held = [], 0
+
+    def add():
+        nonlocal pending, held
+        counts[:] += np.bincount(np.concatenate(pending), minlength=2 << bits)
+        pending, held = [], 0
+
     for (text,) in grams.rows_of(batches, "text"):
-        shingles = np.unique(grams.ngrams(grams.word_hashes(grams.words(text), known), k))
-        counts += np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) if len(shingles) > 4096 else 0
-        if len(shingles) <= 4096:
-            np.add.at(counts, (shingles >> np.uint64(64 - bits)).astype(np.int64), 1)
+        hashes = grams.word_hashes(grams.words(text), known)
+        pending += [(np.unique(grams.ngrams(hashes, k)) >> shift).astype(np.int64), (hashes >> shift).astype(np.int64) + (1 << bits)]
+        held += 2 * len(hashes)
+        if held > 1_000_000:
+            add()
+    if pending:
+        add()
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], ["bucket", "n"])
 
 
-def rarity(docs: DataFrame, k: int, bits: int) -> np.ndarray:
-    """How many n-gram occurrences over all documents fall into each bucket."""
+def rarity(docs: DataFrame, k: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the order: how heavy each bucket of n-grams is, and the weight of each bucket of words.
+
+    An n-gram is heavy by the power of two by which its bucket passes the mean (an n-gram
+    that many texts share does so). Among those that are not, the sum of the words'
+    logarithmic frequencies tells how easily two texts share one by chance.
+    """
     parts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(partial(_frequencies, k=k, bits=bits), "bucket int, n long")
-    rows = parts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << bits, np.int64)
+    rows = parts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 2 ** (bits + 1) rows at most
+    counts = np.zeros(2 << bits, np.int64)
     counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return counts
+    shared, words = counts[: 1 << bits], counts[1 << bits :]
+    heavy = np.log2(np.maximum(shared, 1) / max(1.0, shared.mean()))
+    return np.maximum(heavy, 0).astype(np.int16), np.round(256 * np.log2(words + 1)).astype(np.int32)
+
+
+def rare_first(text: bytes | None, known: grams.WordHashes, order: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a text as a sorted set, and in the common order."""
+    heavy, weight = order
+    shift = np.uint64(65 - len(heavy).bit_length())
+    hashes = grams.word_hashes(grams.words(text), known)
+    all_grams = grams.ngrams(hashes, k)
+    s, at = np.unique(all_grams, return_index=True)
+    per_word = weight[(hashes >> shift).astype(np.int64)]
+    k = min(k, len(hashes))
+    sums = sum((per_word[j : len(per_word) - k + 1 + j] for j in range(k)), np.zeros(len(all_grams), np.int64))
+    return s, s[np.lexsort((s, sums[at], heavy[(s >> shift).astype(np.int64)]))]
 
 
 def need(n, percent: int):
@@ -66,30 +101,54 @@ def need(n, percent: int):
     return -(-percent * n // 100)
 
 
+def parity_bits(s: np.ndarray, bits: int) -> np.ndarray:
+    """One bit per residue: whether an odd number of the hashes has it."""
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def far_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Differing bits of two sketches; the longer is folded to the shorter."""
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.unpackbits(a ^ b).sum())
+
+
 def _features(batches, order, k: int, percent: int):
-    known, counts = grams.WordHashes(), order.value
-    shift = np.uint64(65 - len(counts).bit_length())
+    known = grams.WordHashes()
     for batch in batches:
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], [], [], []]
         for text in batch.column("text").to_pylist():
-            s = np.unique(grams.ngrams(grams.word_hashes(grams.words(text), known), k))
+            s, ranked = rare_first(text, known, order.value, k)
             out[0].append(len(s))
             if len(s):
-                ranked = s[np.lexsort((s, counts[(s >> shift).astype(np.int64)]))]
-                parity = np.bincount((s & np.uint64(64 * SKETCH_LONGS - 1)).astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
                 out[1].append(grams.set_digest(s))
                 out[2].append(ranked[: len(s) - need(len(s), percent) + 1].view(np.int64))
-                out[3].append(np.packbits(parity.astype(np.uint8)).view(np.int64))
+                out[3].append(parity_bits(s, 64 * SKETCH_LONGS).view(np.int64))
+                out[4].append(parity_bits(s, 1 << (len(s) - 1).bit_length()).tobytes() if len(s) > LONG_SET else None)
             else:
                 for x in out[1:]:
                     x.append(None)
         longs = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], longs), pa.array(out[3], longs)],
-            ["doc_id", "n", "digest", "prefix", "parity"],
+            [batch.column("doc_id").cast(pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], longs), pa.array(out[3], longs), pa.array(out[4], pa.binary())],
+            ["doc_id", "n", "digest", "prefix", "parity", "fine"],
         )
 
 
+def _alike(batches, percent: int):
+    """Pairs of long sets whose finer sketches do not refuse them."""
+    for batch in batches:
+        kept = []
+        for i, (na, nb, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "fine_a", "fine_b")), strict=True)):
+            overlap = -(-percent * (na + nb) // (100 + percent))
+            if far_apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= na + nb - 2 * overlap:
+                kept.append(i)
+        yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+
+
 def _sets(batches, k: int):
     known = grams.WordHashes()
     for batch in batches:
@@ -129,7 +188,37 @@ def candidates(reps: DataFrame, percent: int) -> DataFrame:
         & (_far("parity_a", "parity_b") <= F.col("n_a") + F.col("n_b") - 2 * overlap)
         & ~F.arrays_overlap("before_a", "before_b"),
     )
-    return joined.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    pairs = settle(joined.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "n_a", "n_b").distinct(), "sketched")
+    both_long = F.least("n_a", "n_b") > LONG_SET
+    fine = reps.where("fine is not null").select("rep", "fine")
+    a, b = (fine.select(F.col("rep").alias(c), F.col("fine").alias(f"fine_{c}")) for c in "ab")
+    long = pairs.where(both_long).join(a, "a").join(b, "b").mapInArrow(partial(_alike, percent=percent), "a long, b long")
+    return pairs.where(~both_long).select("a", "b").unionByName(long)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All links ``u, v``, and fewer ones that hold the same components together.
+
+    Sets of one group of candidates differ little, so each is told once by what parts it
+    from its group's centre, the class with most candidates. Two such differences give
+    the symmetric difference of their sets exactly, and a pair moves them alone.
+    A link between two classes that both link to their centre holds nothing more.
+    """
+    both = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+    degree = both.groupBy("rep").agg(F.count(F.lit(1)).alias("_d"))
+    groups = settle(components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "rep"), "candidates")
+    centres = groups.join(degree, "rep").groupBy("root").agg(F.max(F.struct("_d", (-F.col("rep")).alias("c"))).alias("_m")).select("root", (-F.col("_m.c")).alias("centre"))
+    middle = sets.select(F.col("rep").alias("centre"), F.col("n").alias("n_c"), F.col("shingles").alias("shingles_c"))
+    apart = F.concat(F.array_except("shingles", "shingles_c"), F.array_except("shingles_c", "shingles"))
+    told = sets.join(groups.join(centres, "root").drop("root"), "rep").join(middle, "centre").select("rep", "n", "centre", "n_c", apart.alias("apart"))
+    reach = lambda size, x, y: size <= F.col(x) + F.col(y) - 2 * _overlap(x, y, percent)
+    told = settle(told.withColumn("near", reach(F.size("apart"), "n", "n_c")).drop("n_c").dropDuplicates(["rep"]), "apart")
+    a, b = (told.select(*(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "near", "apart"))) for s in "ab")
+    checked = pairs.join(a, F.col("a") == F.col("rep_a")).join(b, F.col("b") == F.col("rep_b"))
+    differ = F.size("apart_a") + F.size("apart_b") - 2 * F.size(F.array_intersect("apart_a", "apart_b"))
+    links = settle(checked.where(reach(differ, "n_a", "n_b")).select(F.col("a").alias("u"), F.col("b").alias("v"), (F.col("near_a") & F.col("near_b")).alias("held")), "links")
+    star = told.where("near and rep <> centre").select(F.col("rep").alias("u"), F.col("centre").alias("v"))
+    return links.drop("held"), settle(links.where("not held").drop("held").unionByName(star), "holding")
 
 
 def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int = 18, most_broadcast: int = 1_000_000) -> DataFrame:
@@ -140,13 +229,14 @@ def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int
     only after they are counted (8 MB at most), else joined by a shuffle.
     """
     spark = docs.sparkSession
+    ship(spark)
     order = spark.sparkContext.broadcast(rarity(docs, k, bits))
     raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    made = raw.mapInArrow(partial(_features, order=order, k=k, percent=percent), "doc_id long, n long, digest binary, prefix array<long>, parity array<long>")
+    made = raw.mapInArrow(partial(_features, order=order, k=k, percent=percent), "doc_id long, n long, digest binary, prefix array<long>, parity array<long>, fine binary")
     feats = settle(made.withColumn("rid", F.monotonically_increasing_id()), "features")
     classes = feats.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("copies"))
     classes = settle(classes, "classes")
-    reps = classes.select("rep", "digest").join(feats.select(F.col("rid").alias("rep"), "doc_id", "n", "prefix", "parity"), "rep")
+    reps = settle(classes.select("rep", "digest").join(feats.select(F.col("rid").alias("rep"), "doc_id", "n", "prefix", "parity", "fine"), "rep"), "reps")
     pairs = settle(candidates(reps, percent), "pairs")
     ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
     asked = settle(ends.join(reps.select("rep", "digest", "doc_id", "n"), "rep"), "asked")
@@ -154,10 +244,8 @@ def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int
     ids = F.broadcast(ids) if ids.count() <= most_broadcast else ids
     sets = raw.join(ids, "doc_id", "left_semi").select("text").mapInArrow(partial(_sets, k=k), "digest binary, shingles array<long>")
     sets = settle(sets.join(asked.select("digest", "rep", "n"), "digest").drop("digest"), "sets")
-    a, b = (sets.select(*(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "shingles"))) for s in "ab")
-    checked = pairs.join(a, F.col("a") == F.col("rep_a")).join(b, F.col("b") == F.col("rep_b"))
-    links = settle(checked.where(F.size(F.array_intersect("shingles_a", "shingles_b")) >= _overlap("n_a", "n_b", percent)).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links")
-    roots = components(links)
+    links, holding = _verified(pairs, sets, percent)
+    roots = components(holding)
     sizes = classes.select(F.col("rep").alias("v"), "copies")
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     degree = both.join(sizes, "v").groupBy(F.col("u").alias("rep")).agg(F.sum("copies").alias("others"))
