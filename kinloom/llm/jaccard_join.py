@@ -197,7 +197,7 @@ def candidates(reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """All links ``u, v``, and fewer ones that hold the same components together.
+    """All links ``u, v`` with the copies of both, and fewer ones that hold the same components together.
 
     Sets of one group of candidates differ little, so each is told once by what parts it
     from its group's centre, the class with most candidates. Two such differences give
@@ -210,15 +210,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFram
     centres = groups.join(degree, "rep").groupBy("root").agg(F.max(F.struct("_d", (-F.col("rep")).alias("c"))).alias("_m")).select("root", (-F.col("_m.c")).alias("centre"))
     middle = sets.select(F.col("rep").alias("centre"), F.col("n").alias("n_c"), F.col("shingles").alias("shingles_c"))
     apart = F.concat(F.array_except("shingles", "shingles_c"), F.array_except("shingles_c", "shingles"))
-    told = sets.join(groups.join(centres, "root").drop("root"), "rep").join(middle, "centre").select("rep", "n", "centre", "n_c", apart.alias("apart"))
+    told = sets.join(groups.join(centres, "root").drop("root"), "rep").join(middle, "centre").select("rep", "n", "copies", "centre", "n_c", apart.alias("apart"))
     reach = lambda size, x, y: size <= F.col(x) + F.col(y) - 2 * _overlap(x, y, percent)
     told = settle(told.withColumn("near", reach(F.size("apart"), "n", "n_c")).drop("n_c").dropDuplicates(["rep"]), "apart")
-    a, b = (told.select(*(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "near", "apart"))) for s in "ab")
+    a, b = (told.select(*(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "copies", "near", "apart"))) for s in "ab")
     checked = pairs.join(a, F.col("a") == F.col("rep_a")).join(b, F.col("b") == F.col("rep_b"))
     differ = F.size("apart_a") + F.size("apart_b") - 2 * F.size(F.array_intersect("apart_a", "apart_b"))
-    links = settle(checked.where(reach(differ, "n_a", "n_b")).select(F.col("a").alias("u"), F.col("b").alias("v"), (F.col("near_a") & F.col("near_b")).alias("held")), "links")
+    links = settle(checked.where(reach(differ, "n_a", "n_b")).select(F.col("a").alias("u"), F.col("b").alias("v"), "copies_a", "copies_b", (F.col("near_a") & F.col("near_b")).alias("held")), "links")
     star = told.where("near and rep <> centre").select(F.col("rep").alias("u"), F.col("centre").alias("v"))
-    return links.drop("held"), settle(links.where("not held").drop("held").unionByName(star), "holding")
+    return links.drop("held"), settle(links.where("not held").select("u", "v").unionByName(star), "holding")
 
 
 def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int = 18, most_broadcast: int = 1_000_000) -> DataFrame:
@@ -236,19 +236,18 @@ def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int
     feats = settle(made.withColumn("rid", F.monotonically_increasing_id()), "features")
     classes = feats.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("copies"))
     classes = settle(classes, "classes")
-    reps = settle(classes.select("rep", "digest").join(feats.select(F.col("rid").alias("rep"), "doc_id", "n", "prefix", "parity", "fine"), "rep"), "reps")
+    reps = settle(classes.select("rep", "digest", "copies").join(feats.select(F.col("rid").alias("rep"), "doc_id", "n", "prefix", "parity", "fine"), "rep"), "reps")
     pairs = settle(candidates(reps, percent), "pairs")
     ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    asked = settle(ends.join(reps.select("rep", "digest", "doc_id", "n"), "rep"), "asked")
+    asked = settle(ends.join(reps.select("rep", "digest", "doc_id", "n", "copies"), "rep"), "asked")
     ids = asked.select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= most_broadcast else ids
     sets = raw.join(ids, "doc_id", "left_semi").select("text").mapInArrow(partial(_sets, k=k), "digest binary, shingles array<long>")
-    sets = settle(sets.join(asked.select("digest", "rep", "n"), "digest").drop("digest"), "sets")
+    sets = settle(sets.join(asked.select("digest", "rep", "n", "copies"), "digest").drop("digest"), "sets")
     links, holding = _verified(pairs, sets, percent)
     roots = components(holding)
-    sizes = classes.select(F.col("rep").alias("v"), "copies")
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    degree = both.join(sizes, "v").groupBy(F.col("u").alias("rep")).agg(F.sum("copies").alias("others"))
+    both = links.select(F.col("u").alias("rep"), F.col("copies_b").alias("_c")).unionByName(links.select(F.col("v").alias("rep"), F.col("copies_a").alias("_c")))
+    degree = both.groupBy("rep").agg(F.sum("_c").alias("others"))
     grouped = (
         classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep")).join(degree, "rep", "left")
     )
