@@ -1,14 +1,12 @@
-"""Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
 1. Every test item gives its word ``k``-grams. A bit table of fixed size
    tells a task which of a document's k-grams might be among them; neighbouring
    hits make a passage, cut with as many words around as the longest item has.
-2. Passages are all that leaves the scan. How many of them hold a k-gram is its
-   frequency in the corpus; an item's seeds are its rare ones: those not above
-   ``8 + 4 *`` the median of the item, so at least half of them, however often
-   the item itself was copied.
-3. Hits join seeds by hash. A passage and an item that share enough seeds (a tenth of
-   the item's, two at least, or the only one) are a candidate pair.
+2. Passages are all that leaves the scan.
+3. Hits join the items' k-grams by hash, however frequent they are. A passage and an
+   item that share enough (a tenth of the item's, two at least, or the only one) are
+   a candidate pair.
 4. Local alignment of words (match 2, other word -1, gap -1) scores the pair as a
    share of the best possible, so edits, insertions and swaps cost in
    proportion. Pairs of at least ``least`` are leaks.
@@ -26,7 +24,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinloom.llm import grams
@@ -135,7 +133,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, k: int = 3, least: float = 0
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
-    items = settle(items.mapInArrow(partial(_item_grams, k=k), "item_id long, n_words long, words binary, grams array<long>").where("n_words > 0").distinct(), "items")
+    items = settle(items.mapInArrow(partial(_item_grams, k=k), "item_id long, n_words long, words binary, grams array<long>").where("n_words > 0").distinct().withColumn("iid", F.monotonically_increasing_id()), "items")
     slot = F.shiftrightunsigned("gram", 64 - BITS)
     slots = np.zeros(1 << BITS, bool)
     slots[items.select(F.explode("grams").alias("gram")).select(slot.alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True  # 2 ** BITS rows at most
@@ -147,19 +145,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, k: int = 3, least: float = 0
     passages = settle(texts.mapInArrow(scan, "doc_id long, start long, words binary, grams array<long>").withColumn("pid", F.monotonically_increasing_id()), "passages")
 
     hits = passages.select("pid", F.explode("grams").alias("gram"))
-    wanted = items.select("item_id", "words", F.size("grams").alias("own"), F.explode("grams").alias("gram"))
-    df = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    of_item = Window.partitionBy("item_id", "words")
-    seeds = (
-        wanted.join(df, "gram", "left")
-        .withColumn("df", F.coalesce("df", F.lit(0)))
-        .withColumn("_mid", F.percentile("df", F.lit(0.5)).over(of_item))
-        .where("df <= 8 + 4 * _mid and df > 0")
-    )
-    seeds = settle(seeds.select("item_id", "words", "gram", "own"), "seeds")
-    shared = hits.join(seeds, "gram").groupBy("pid", "item_id", "words", "own").agg(F.count(F.lit(1)).alias("found"))
-    pairs = shared.where((F.col("found") >= F.least("own", F.greatest(F.lit(2), F.ceil(F.col("own") / 10))))).select("pid", "item_id", F.col("words").alias("item"))
-    ready = pairs.join(passages.select("pid", "doc_id", "start", "words"), "pid").withColumn("n_words", F.size(F.split(F.col("item").cast("string"), " ")).cast("long"))
+    wanted = items.select("iid", F.size("grams").alias("own"), F.explode("grams").alias("gram"))
+    shared = hits.join(wanted, "gram").groupBy("pid", "iid", "own").agg(F.count(F.lit(1)).alias("found"))
+    pairs = shared.where((F.col("found") >= F.least("own", F.greatest(F.lit(2), F.ceil(F.col("own") / 10))))).select("pid", "iid")
+    named = pairs.join(items.select("iid", "item_id", F.col("words").alias("item"), "n_words"), "iid")
+    ready = named.join(passages.select("pid", "doc_id", "start", "words"), "pid")
     scored = ready.mapInArrow(_aligned, "doc_id long, item_id long, score double, end_word long, item_words long").where(F.col("score") >= least)
     best = scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", (-F.col("end_word")).alias("e"), "item_words")).alias("b"))
     return best.select("doc_id", "item_id", "b.score", (-F.col("b.e")).alias("end_word"), "b.item_words")

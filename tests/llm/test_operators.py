@@ -220,6 +220,15 @@ def test_common_passage_is_still_found(spark):
     assert got.count() == 300
 
 
+@pytest.mark.parametrize("every", [4, 5])
+def test_an_edited_item_in_many_copies_is_found(spark, every):
+    item = [f"q{j}" for j in range(40)]
+    edited = [f"edit{j}" if j % every == every - 1 else w for j, w in enumerate(item)]
+    rows = [(i, " ".join([f"lead{i}", *edited, f"tail{i}"])) for i in range(1000)] + [(5000, " ".join(item))]
+    got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(4, " ".join(item))], "item_id long, text string"))
+    assert {r.doc_id for r in got.collect()} == {i for i, _ in rows}
+
+
 def test_leaks_cover_all_long_overlaps(spark, sf, texts):
     got = {(r.doc_id, r.item_id) for r in queries()["op1_decontaminate"](spark, sf).collect()}
     want = set()
