@@ -133,8 +133,8 @@ def _features(batches, order, k: int, percent: int):
                     x.append(None)
         longs = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], longs), pa.array(out[3], longs), pa.array(out[4], pa.binary())],
-            ["doc_id", "n", "digest", "prefix", "parity", "fine"],
+            [batch.column("doc_id").cast(pa.int64()), batch.column("handle").cast(pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], longs), pa.array(out[3], longs), pa.array(out[4], pa.binary())],
+            ["doc_id", "handle", "n", "digest", "prefix", "parity", "fine"],
         )
 
 
@@ -225,24 +225,25 @@ def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int
     """``doc_id, n_shingles, component_id, n_links`` for every row of ``docs``.
 
     ``component_id`` is the least id reachable over links, ``n_links`` how many other
-    rows a row links to. The ids of documents to verify are broadcast
-    only after they are counted (8 MB at most), else joined by a shuffle.
+    rows a row links to. The texts to verify are asked for by a hash of id and text, as
+    an id may be null; a collision only fetches a text that no digest asks for. The
+    hashes are broadcast only after they are counted (8 MB at most), else joined by a shuffle.
     """
     spark = docs.sparkSession
     ship(spark)
     order = spark.sparkContext.broadcast(rarity(docs, k, bits))
-    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    made = raw.mapInArrow(partial(_features, order=order, k=k, percent=percent), "doc_id long, n long, digest binary, prefix array<long>, parity array<long>, fine binary")
+    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).withColumn("handle", F.xxhash64("doc_id", "text"))
+    made = raw.mapInArrow(partial(_features, order=order, k=k, percent=percent), "doc_id long, handle long, n long, digest binary, prefix array<long>, parity array<long>, fine binary")
     feats = settle(made.withColumn("rid", F.monotonically_increasing_id()), "features")
     classes = feats.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("copies"))
     classes = settle(classes, "classes")
-    reps = settle(classes.select("rep", "digest", "copies").join(feats.select(F.col("rid").alias("rep"), "doc_id", "n", "prefix", "parity", "fine"), "rep"), "reps")
+    reps = settle(classes.select("rep", "digest", "copies").join(feats.select(F.col("rid").alias("rep"), "handle", "n", "prefix", "parity", "fine"), "rep"), "reps")
     pairs = settle(candidates(reps, percent), "pairs")
     ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    asked = settle(ends.join(reps.select("rep", "digest", "doc_id", "n", "copies"), "rep"), "asked")
-    ids = asked.select("doc_id").distinct()
-    ids = F.broadcast(ids) if ids.count() <= most_broadcast else ids
-    sets = raw.join(ids, "doc_id", "left_semi").select("text").mapInArrow(partial(_sets, k=k), "digest binary, shingles array<long>")
+    asked = settle(ends.join(reps.select("rep", "digest", "handle", "n", "copies"), "rep"), "asked")
+    handles = asked.select("handle").distinct()
+    handles = F.broadcast(handles) if handles.count() <= most_broadcast else handles
+    sets = raw.join(handles, "handle", "left_semi").select("text").distinct().mapInArrow(partial(_sets, k=k), "digest binary, shingles array<long>")
     sets = settle(sets.join(asked.select("digest", "rep", "n", "copies"), "digest").drop("digest"), "sets")
     links, holding = _verified(pairs, sets, percent)
     roots = components(holding)

@@ -44,6 +44,15 @@ def test_jaccard_group_of_near_copies(spark, broadcast):
     assert got == brute.jaccard_groups(rows)
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_jaccard_near_copies_of_rows_without_id(spark, broadcast):
+    a, b = ([f"{x}{i}" for i in range(120)] for x in "ab")
+    rows = [(None, " ".join(a)), (None, " ".join(a)), (5, " ".join(a)), (7, " ".join([*a[:-1], "edit"])), (None, " ".join(b)), (9, " ".join([*b[:-1], "edit"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = Counter((r.doc_id, r.component_id, r.n_links) for r in jaccard_join.jaccard_groups(df, bits=8, most_broadcast=broadcast).collect())
+    assert got == Counter({(None, 5, 3): 2, (5, 5, 3): 1, (7, 5, 3): 1, (None, 9, 1): 1, (9, 9, 1): 1})
+
+
 def test_jaccard_odd_rows(odd, none):
     got = by_id(jaccard_join.jaccard_groups(odd), "n_shingles", "component_id", "n_links")
     assert got == brute.jaccard_groups(ODD)
