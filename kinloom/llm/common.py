@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 import zipfile
@@ -36,27 +37,40 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session names none (tests on one machine), a temporary folder is
-    set once as the session's checkpoint folder and used from then on.
+    Where a session on one machine (``local`` master) names none, a temporary folder is
+    set once as its checkpoint folder and used from then on. On a cluster that is an error:
+    executors could not read what the driver's machine holds.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
     kept = spark.sparkContext.getCheckpointDir()
     if kept is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='kinloom-')}")
         kept = spark.sparkContext.getCheckpointDir()
     return kept
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when the driver's process ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/kinloom-{label}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Lineage ends at replicated files rather than at one executor's blocks, so a
-    lost executor costs a re-read and never a recomputation.
+    lost executor costs a re-read and never a recomputation. The table is deleted when
+    the driver's process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/kinloom-{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -84,12 +98,25 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def without_ids(rows: DataFrame, ids: DataFrame, key: str = "doc_id", most_broadcast: int = 1_000_000) -> DataFrame:
-    """Rows whose key is not among ``ids``; rows with a null key stay.
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """32 bytes that name a row by its id and whole text; ``row_name`` is the same in Python.
+
+    Ids may be null or shared by different texts, so filters decide by this key.
+    """
+    told = F.concat(F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col(text).cast("string"), F.lit("")))
+    return F.unhex(F.sha2(told.cast("binary"), 256))
+
+
+def row_name(doc_id: int | None, text: bytes | None) -> bytes:
+    return hashlib.sha256(f"{'-' if doc_id is None else doc_id}:".encode() + (text or b"")).digest()
+
+
+def without_rows(rows: DataFrame, keys: DataFrame, most_broadcast: int = 500_000) -> DataFrame:
+    """Rows of documents whose ``row_key`` is not in ``keys`` (``row``).
 
-    The ids are counted first: up to ``most_broadcast`` (8 bytes each) are broadcast
+    The keys are counted first: up to ``most_broadcast`` (32 bytes each) are broadcast
     and the rows stay where they are, more are joined by a shuffle.
     """
-    ids = settle(ids.select(key).where(F.col(key).isNotNull()).distinct(), "ids")
-    side = F.broadcast(ids) if ids.count() <= most_broadcast else ids
-    return rows.join(side, key, "left_anti").select(*rows.columns)
+    keys = settle(keys.select(F.col("row").alias("__row")).distinct(), "keys")
+    side = F.broadcast(keys) if keys.count() <= most_broadcast else keys
+    return rows.withColumn("__row", row_key()).join(side, "__row", "left_anti").select(*rows.columns)

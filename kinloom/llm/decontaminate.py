@@ -1,24 +1,34 @@
 """Benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
-1. Every test item gives its word ``k``-grams. A bit table of fixed size
-   tells a task which of a document's k-grams might be among them; neighbouring
-   hits make a passage, cut with as many words around as the longest item has.
-2. Passages are all that leaves the scan.
-3. Hits join the items' k-grams by hash, however frequent they are. A passage and an
-   item that share enough (a tenth of the item's, two at least, or the only one) are
-   a candidate pair.
+1. Every test item gives its word ``k``-grams. Items are of 16 classes by their number of
+   words (powers of two from 8). A bit table, sized by the benchmark and 32 MB at
+   most, says of which classes the items are that may hold an n-gram.
+2. A task reads it for a document's k-grams, class by class. Around hits that lie dense enough
+   for the least demanding item of the class a passage is cut, with as many words on each
+   side as an alignment that scores enough can span for the class's longest item.
+   So the reach of a hit follows the items that have it, not the longest of all.
+3. Passages are all that leaves the scan. Hits join the items' k-grams by hash, however
+   frequent they are. A passage and an item that share enough (a tenth of the item's,
+   two at least, or the only one) are a candidate pair.
 4. Local alignment of words (match 2, other word -1, gap -1) scores the pair as a
    share of the best possible, so edits, insertions and swaps cost in
    proportion. Pairs of at least ``least`` are leaks.
 
+Of ``n`` words with some replaced, at least ``0.2 n - 2`` k-grams stay where the score reaches
+0.6, so items of 18 words and more are found whichever words these are. Copies with a word
+put in after every other one have no seed and are not found.
+
 Words are lower-cased (A-Z) and bare of ASCII punctuation. Defined cases: null or
-blank texts and items give nothing; an item of fewer than ``k`` words is one
-seed, and matches the whole run only; repeated rows of a document or item give
-one pair per pair of ids; null ids are kept as null; extra columns are ignored.
+blank texts and items give nothing, nor do empty tables; an item of fewer than ``k`` words
+is one seed, and matches the whole run only; repeated rows of a document or item give
+one pair per pair of ids; null ids are kept as null; the filter decides row by row, by
+id and text, so rows without id or with another's id are judged on their own text; very long
+texts and items are read whole; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from functools import partial
 
@@ -28,9 +38,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinloom.llm import grams
-from kinloom.llm.common import settle, ship, without_ids
+from kinloom.llm.common import row_name, settle, ship, without_rows
 
-BITS = 22
+CLASSES, LEAST_BITS, MOST_BITS = 16, 18, 24
 _DROP = string.punctuation.encode()
 
 
@@ -43,8 +53,8 @@ def _grams(words: list[bytes], known, k: int) -> np.ndarray:
     return grams.ngrams(grams.word_hashes(words, known), k)
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+def class_of(n_words: int) -> int:
+    return min(CLASSES - 1, max(0, (n_words - 1).bit_length() - 3))
 
 
 def _item_grams(batches, k: int):
@@ -53,18 +63,26 @@ def _item_grams(batches, k: int):
         words = [bare_words(t) for t in batch.column("text").to_pylist()]
         keys = [np.unique(_grams(w, known, k)) for w in words]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("item_id").cast(pa.int64()), pa.array([len(w) for w in words], pa.int64()), pa.array([b" ".join(w) for w in words], pa.binary()), pa.array([x.view(np.int64) for x in keys], pa.list_(pa.int64()))],
-            ["item_id", "n_words", "words", "grams"],
+            [batch.column("item_id").cast(pa.int64()), pa.array([len(w) for w in words], pa.int64()), pa.array([class_of(len(w)) for w in words], pa.int32()), pa.array([b" ".join(w) for w in words], pa.binary()), pa.array([x.view(np.int64) for x in keys], pa.list_(pa.int64()))],
+            ["item_id", "n_words", "class", "words", "grams"],
         )
 
 
-def _passages(batches, slots, lengths: list[int], k: int, around: int):
-    """Passages of each document around hits; hits over ``around`` words apart are of two.
+def _dense(at: np.ndarray, reach: int, need: int) -> np.ndarray:
+    """Hits with at least ``need`` hits within ``reach`` words, themselves included."""
+    return at[np.searchsorted(at, at + reach, "right") - np.searchsorted(at, at - reach, "left") >= need]
+
+
+def _passages(batches, slots, lengths: list[int], k: int, classes: list[tuple[int, int, int]]):
+    """Passages of each document around dense hits, by class of items.
 
     ``lengths`` are the gram lengths to try: ``k`` and those of shorter items.
+    ``classes`` has the class, its reach in words and its least number of seeds.
     """
     known = grams.WordHashes()
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.binary()), ("grams", pa.list_(pa.int64()))])
+    schema = pa.schema([("row", pa.binary()), ("doc_id", pa.int64()), ("class", pa.int32()), ("start", pa.int64()), ("words", pa.binary()), ("grams", pa.list_(pa.int64()))])
+    table = slots.value
+    shift = np.uint64(65 - len(table).bit_length())
     out: list[tuple] = []
     for doc_id, text in grams.rows_of(batches, "doc_id", "text"):
         words = bare_words(text)
@@ -73,15 +91,25 @@ def _passages(batches, slots, lengths: list[int], k: int, around: int):
         for length in lengths:
             if len(words) >= length:
                 g = grams.ngrams(hashes, length)
-                at = np.flatnonzero(slots.value[_slot(g)])
-                found.append((at, g[at]))
-        at = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
-        if len(at):
-            order = np.argsort(at, kind="stable")
-            at, keys = at[order], np.concatenate([x for _, x in found])[order]
-            for own in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > around) + 1):
-                low = max(0, int(at[own[0]]) - around)
-                out.append((doc_id, low, b" ".join(words[low : int(at[own[-1]]) + k + around]), np.unique(keys[own]).view(np.int64)))
+                marks = table[(g >> shift).astype(np.int64)]
+                at = np.flatnonzero(marks)
+                found.append((at, g[at], marks[at]))
+        if not any(len(x) for x, _, _ in found):
+            continue
+        at, keys, marks = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(at, kind="stable")
+        at, keys, marks = at[order], keys[order], marks[order]
+        row = None
+        for number, reach, need in classes:
+            own = (marks >> np.uint16(number)) & np.uint16(1) == 1
+            live = _dense(at[own], reach, need)
+            if not len(live):
+                continue
+            row = row or row_name(doc_id, text)
+            for run in np.split(live, np.flatnonzero(np.diff(live) > reach) + 1):
+                first, last = int(run[0]), int(run[-1])
+                low = max(0, first - reach)
+                out.append((row, doc_id, number, low, b" ".join(words[low : last + k + reach]), np.unique(keys[own & (at >= first) & (at <= last)]).view(np.int64)))
         if len(out) >= 2000:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
             out = []
@@ -112,49 +140,68 @@ def align(item: list[bytes], passage: list[bytes], match: int = 2, other: int =
     return best, end
 
 
+FOUND = "row binary, doc_id long, item_id long, score double, end_word long, item_words long"
+
+
 def _aligned(batches):
     done: dict = {}
     for batch in batches:
-        out: list[list] = [[], [], [], [], []]
-        for doc_id, item_id, start, item, passage, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "item_id", "start", "item", "words", "n_words")), strict=True):
+        out: list[list] = [[], [], [], [], [], []]
+        for row, doc_id, item_id, start, item, passage, n in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "item_id", "start", "item", "words", "n_words")), strict=True):
             if (item, passage) not in done:
                 if len(done) > 20_000:
                     done.clear()
                 done[item, passage] = align(item.split(), passage.split())
             score, end = done[item, passage]
-            for x, v in zip(out, (doc_id, item_id, score / (2 * n), start + end, n), strict=True):
+            for x, v in zip(out, (row, doc_id, item_id, score / (2 * n), start + end, n), strict=True):
                 x.append(v)
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["doc_id", "item_id", "score", "end_word", "item_words"])
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["row", "doc_id", "item_id", "score", "end_word", "item_words"])
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, *, k: int = 3, least: float = 0.6) -> DataFrame:
-    """``doc_id, item_id, score, end_word, item_words`` of every leak, best passage each."""
+def passages_of(docs: DataFrame, benchmark: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFrame] | None:
+    """Items, and the passages of documents around their seeds; None without items."""
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
-    items = settle(items.mapInArrow(partial(_item_grams, k=k), "item_id long, n_words long, words binary, grams array<long>").where("n_words > 0").distinct().withColumn("iid", F.monotonically_increasing_id()), "items")
-    slot = F.shiftrightunsigned("gram", 64 - BITS)
-    slots = np.zeros(1 << BITS, bool)
-    slots[items.select(F.explode("grams").alias("gram")).select(slot.alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True  # 2 ** BITS rows at most
-    size = items.agg(F.max("n_words").alias("most"), F.array_sort(F.collect_set(F.least("n_words", F.lit(k)))).alias("lengths")).first()
-    if not size.most:
-        return spark.createDataFrame([], "doc_id long, item_id long, score double, end_word long, item_words long")
-    scan = partial(_passages, slots=spark.sparkContext.broadcast(slots), lengths=[int(x) for x in size.lengths], k=k, around=int(size.most))
+    items = items.mapInArrow(partial(_item_grams, k=k), "item_id long, n_words long, class int, words binary, grams array<long>").where("n_words > 0").distinct()
+    own = F.size("grams")
+    items = items.withColumn("need", F.least(own, F.greatest(F.lit(2), F.ceil(own / 10))).cast("long")).withColumn("iid", F.monotonically_increasing_id())
+    items = settle(items, "items")
+    known = items.groupBy("class").agg(F.max("n_words").alias("most"), F.min("need").alias("need"), F.sum(F.size("grams")).alias("seeds"), F.collect_set(F.least("n_words", F.lit(k))).alias("lengths")).collect()  # a row per class
+    if not known:
+        return None
+    bits = min(MOST_BITS, max(LEAST_BITS, sum(r.seeds for r in known).bit_length() + 6))
+    marked = items.select("class", F.explode("grams").alias("gram")).groupBy(F.shiftrightunsigned("gram", 64 - bits).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1, class)")).alias("marks")).toArrow()  # 2 ** bits rows at most
+    slots = np.zeros(1 << bits, np.uint16)
+    slots[marked["slot"].to_numpy()] = marked["marks"].to_numpy().astype(np.uint16)
+    classes = sorted((r["class"], math.ceil((3 - 2 * least) * r.most) + k, r.need) for r in known)
+    scan = partial(_passages, slots=spark.sparkContext.broadcast(slots), lengths=sorted({x for r in known for x in r.lengths}), k=k, classes=classes)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    passages = settle(texts.mapInArrow(scan, "doc_id long, start long, words binary, grams array<long>").withColumn("pid", F.monotonically_increasing_id()), "passages")
-
-    hits = passages.select("pid", F.explode("grams").alias("gram"))
-    wanted = items.select("iid", F.size("grams").alias("own"), F.explode("grams").alias("gram"))
-    shared = hits.join(wanted, "gram").groupBy("pid", "iid", "own").agg(F.count(F.lit(1)).alias("found"))
-    pairs = shared.where((F.col("found") >= F.least("own", F.greatest(F.lit(2), F.ceil(F.col("own") / 10))))).select("pid", "iid")
-    named = pairs.join(items.select("iid", "item_id", F.col("words").alias("item"), "n_words"), "iid")
-    ready = named.join(passages.select("pid", "doc_id", "start", "words"), "pid")
-    scored = ready.mapInArrow(_aligned, "doc_id long, item_id long, score double, end_word long, item_words long").where(F.col("score") >= least)
-    best = scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", (-F.col("end_word")).alias("e"), "item_words")).alias("b"))
+    found = texts.mapInArrow(scan, "row binary, doc_id long, class int, start long, words binary, grams array<long>")
+    return items, settle(found.withColumn("pid", F.monotonically_increasing_id()), "passages")
+
+
+def _scored(docs: DataFrame, benchmark: DataFrame, k: int, least: float) -> DataFrame:
+    """Every passage and item that align well enough, see ``FOUND``."""
+    cut = passages_of(docs, benchmark, k, least)
+    if cut is None:
+        return docs.sparkSession.createDataFrame([], FOUND)
+    items, passages = cut
+    hits = passages.select("pid", "class", F.explode("grams").alias("gram"))
+    wanted = items.select("iid", "need", "class", F.explode("grams").alias("gram"))
+    shared = hits.join(wanted, ["gram", "class"]).groupBy("pid", "iid", "need").agg(F.count(F.lit(1)).alias("found"))
+    named = shared.where("found >= need").select("pid", "iid").join(items.select("iid", "item_id", F.col("words").alias("item"), "n_words"), "iid")
+    ready = named.join(passages.select("pid", "row", "doc_id", "start", "words"), "pid")
+    return ready.mapInArrow(_aligned, FOUND).where(F.col("score") >= least)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, *, k: int = 3, least: float = 0.6) -> DataFrame:
+    """``doc_id, item_id, score, end_word, item_words`` of every leak, best passage each."""
+    best = _scored(docs, benchmark, k, least).groupBy("doc_id", "item_id").agg(F.max(F.struct("score", (-F.col("end_word")).alias("e"), "item_words")).alias("b"))
     return best.select("doc_id", "item_id", "b.score", (-F.col("b.e")).alias("end_word"), "b.item_words")
 
 
-def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in no leak."""
-    return without_ids(docs, found)
+def without_leaks(docs: DataFrame, benchmark: DataFrame, *, k: int = 3, least: float = 0.6) -> DataFrame:
+    """Rows of ``docs`` whose text holds no leak."""
+    return without_rows(docs, _scored(docs, benchmark, k, least).select("row"))

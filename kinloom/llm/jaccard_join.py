@@ -21,7 +21,8 @@ No cap anywhere: only n-grams that a single class has in its prefix are dropped.
 Defined cases: a text without words, or null, has no set and links with nothing
 (its component is its own id); a text of fewer words than ``k`` is one n-gram;
 repeated rows are copies of each other; a row without id gets the component of its
-copies, null if none has an id; extra columns are ignored. n-grams are held as 64-bit
+copies, null if none has an id; rows that share an id are rows of their own; extra columns
+are ignored, whatever their names; an empty table gives no rows. n-grams are held as 64-bit
 hashes.
 """
 
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinloom.llm import grams
-from kinloom.llm.common import settle, ship
+from kinloom.llm.common import row_key, settle, ship, without_rows
 from kinloom.llm.graph import components
 
 SKETCH_LONGS = 8
@@ -133,8 +134,8 @@ def _features(batches, order, k: int, percent: int):
                     x.append(None)
         longs = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), batch.column("handle").cast(pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], longs), pa.array(out[3], longs), pa.array(out[4], pa.binary())],
-            ["doc_id", "handle", "n", "digest", "prefix", "parity", "fine"],
+            [batch.column("doc_id").cast(pa.int64()), batch.column("handle").cast(pa.int64()), batch.column("row").cast(pa.binary()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], longs), pa.array(out[3], longs), pa.array(out[4], pa.binary())],
+            ["doc_id", "handle", "row", "n", "digest", "prefix", "parity", "fine"],
         )
 
 
@@ -221,21 +222,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFram
     return links.drop("held"), settle(links.where("not held").select("u", "v").unionByName(star), "holding")
 
 
-def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int = 18, most_broadcast: int = 1_000_000) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` for every row of ``docs``.
+def _joined(docs: DataFrame, k: int, percent: int, bits: int, most_broadcast: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (``doc_id, row, n, digest``), classes with their group, and links of classes.
 
-    ``component_id`` is the least id reachable over links, ``n_links`` how many other
-    rows a row links to. The texts to verify are asked for by a hash of id and text, as
-    an id may be null; a collision only fetches a text that no digest asks for. The
-    hashes are broadcast only after they are counted (8 MB at most), else joined by a shuffle.
+    ``row`` names a row by id and text. A class carries its copies, its least id and the
+    first of its rows by id (null last), then by name. The texts to verify are asked for by
+    a hash of id and text, as an id may be null; a collision only fetches a text that no
+    digest asks for. The hashes are broadcast only after they are counted (8 MB at
+    most), else joined by a shuffle.
     """
     spark = docs.sparkSession
     ship(spark)
     order = spark.sparkContext.broadcast(rarity(docs, k, bits))
-    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).withColumn("handle", F.xxhash64("doc_id", "text"))
-    made = raw.mapInArrow(partial(_features, order=order, k=k, percent=percent), "doc_id long, handle long, n long, digest binary, prefix array<long>, parity array<long>, fine binary")
+    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), row_key().alias("row")).withColumn("handle", F.xxhash64("doc_id", "text"))
+    made = raw.mapInArrow(partial(_features, order=order, k=k, percent=percent), "doc_id long, handle long, row binary, n long, digest binary, prefix array<long>, parity array<long>, fine binary")
     feats = settle(made.withColumn("rid", F.monotonically_increasing_id()), "features")
-    classes = feats.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    classes = feats.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("copies"), first)
     classes = settle(classes, "classes")
     reps = settle(classes.select("rep", "digest", "copies").join(feats.select(F.col("rid").alias("rep"), "handle", "n", "prefix", "parity", "fine"), "rep"), "reps")
     pairs = settle(candidates(reps, percent), "pairs")
@@ -247,17 +250,41 @@ def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int
     sets = settle(sets.join(asked.select("digest", "rep", "n", "copies"), "digest").drop("digest"), "sets")
     links, holding = _verified(pairs, sets, percent)
     roots = components(holding)
+    grouped = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    return feats.select("doc_id", "row", "n", "digest"), settle(grouped, "grouped"), links
+
+
+def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int = 18, most_broadcast: int = 1_000_000) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` for every row of ``docs``.
+
+    ``component_id`` is the least id reachable over links, ``n_links`` how many other
+    rows a row links to.
+    """
+    feats, grouped, links = _joined(docs, k, percent, bits, most_broadcast)
     both = links.select(F.col("u").alias("rep"), F.col("copies_b").alias("_c")).unionByName(links.select(F.col("v").alias("rep"), F.col("copies_a").alias("_c")))
     degree = both.groupBy("rep").agg(F.sum("_c").alias("others"))
-    grouped = (
-        classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep")).join(degree, "rep", "left")
-    )
-    grouped = settle(grouped, "grouped")
     least = grouped.groupBy("root").agg(F.min("label").alias("component_id"))
-    named = grouped.join(least, "root").select("digest", "component_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    named = grouped.join(least, "root").join(degree, "rep", "left").select("digest", "component_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return feats.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
+
+
+def without_near_copies(docs: DataFrame, *, k: int = 5, percent: int = 80, bits: int = 18, most_broadcast: int = 500_000) -> DataFrame:
+    """One row of every group of near copies: the one with the least id, then the least name.
+
+    Rows are told by id and text, so that one without an id, or with an id that another
+    text has too, stays or goes on its own account; of rows equal in both one
+    stays. Rows without words are in no group and all stay.
+    """
+    feats, grouped, _ = _joined(docs, k, percent, bits, most_broadcast)
+    stays = grouped.groupBy("root").agg(F.min("first").alias("_first")).select("root", F.col("_first.row").alias("stays"))
+    told = feats.where("n > 0").join(grouped.join(stays, "root").select("digest", "stays"), "digest")
+    repeated = settle(told.where("row = stays").groupBy("row").count().where("count > 1").select("row"), "repeated")
+    kept = without_rows(docs, told.where("row <> stays").select("row").unionByName(repeated), most_broadcast)
+    again = repeated.withColumnRenamed("row", "__row")
+    keyed = docs.withColumn("__row", row_key()).join(F.broadcast(again) if again.count() <= most_broadcast else again, "__row", "left_semi")
+    return kept.unionByName(keyed.dropDuplicates(["__row"]).select(*docs.columns))

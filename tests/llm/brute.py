@@ -20,12 +20,12 @@ def crc(doc_id, n):
     return zlib.crc32((str(doc_id) if doc_id is not None else "").encode()) % n
 
 
-def jaccard_groups(rows):
+def jaccard_groups(rows, k=3, percent=90):
     """rows: (doc_id, text), ids distinct and not null. doc_id -> (n, component, links)."""
     sets = {}
     for i, t in rows:
         w = words(t, True)
-        sets[i] = {tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) > 2 else ({tuple(w)} if w else set())
+        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
     ids, up, links = sorted(sets), {i: i for i in sets}, Counter()
 
     def root(x):
@@ -35,7 +35,7 @@ def jaccard_groups(rows):
 
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 links[a] += 1
                 links[b] += 1
                 x, y = sorted((root(a), root(b)))

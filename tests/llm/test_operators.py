@@ -53,6 +53,19 @@ def test_jaccard_near_copies_of_rows_without_id(spark, broadcast):
     assert got == Counter({(None, 5, 3): 2, (5, 5, 3): 1, (7, 5, 3): 1, (None, 9, 1): 1, (9, 9, 1): 1})
 
 
+def test_near_copies_go_row_by_row(spark):
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    near = lambda w: " ".join([*w[:-1], "edit"])
+    rows = [(None, " ".join(a)), (7, near(a)), (7, " ".join(b)), (7, " ".join(b)), (3, " ".join(a)), (None, near(b)), (None, None), (9, ""), (9, ""), (None, "lone words here"), (None, "lone words here")]
+    want = [(None, "None"), (None, "lone words here"), (3, " ".join(a)), (7, " ".join(b)), (9, ""), (9, "")]
+    for order in (rows, rows[::-1], rows[5:] + rows[:5]):
+        for broadcast in (500_000, 0):
+            df = spark.createDataFrame([(*r, "own") for r in order], "doc_id long, text string, row string").coalesce(1)
+            left = jaccard_join.without_near_copies(df, bits=8, most_broadcast=broadcast)
+            assert left.columns == df.columns
+            assert sorted(((r.doc_id, str(r.text)) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
 def test_jaccard_odd_rows(odd, none):
     got = by_id(jaccard_join.jaccard_groups(odd), "n_shingles", "component_id", "n_links")
     assert got == brute.jaccard_groups(ODD)
@@ -218,8 +231,10 @@ def test_leaks(spark, docs, sf):
     assert got[1, 0] == 1.0 and 0.8 < got[2, 1] < 1.0
     assert decontaminate.leaks(docs.limit(0), bench).count() == 0
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
-    left = decontaminate.without_leaks(spark.createDataFrame(rows, "doc_id long, text string"), decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench))
-    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 3, 4, 5, 6]
+    rows += [(None, "clean"), (1, "clean too"), (7, "a clean one")]
+    left = decontaminate.without_leaks(spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("own")), bench)
+    assert left.columns == ["doc_id", "text", "row"]
+    assert sorted((r.doc_id or 0, (r.text or "")[:7]) for r in left.collect()) == [(0, "clean"), (1, "clean t"), (3, rows[3][1][:7]), (4, "pad0 pa"), (5, ""), (6, ""), (7, "a clean")]
 
 
 def test_common_passage_is_still_found(spark):
@@ -251,6 +266,37 @@ def test_leaks_cover_all_long_overlaps(spark, sf, texts):
     assert got == want
 
 
+def test_long_items_and_a_large_benchmark(spark):
+    """Against alignment of every document with every item, without seeds."""
+    import random
+
+    draw = random.Random(5)
+    some = lambda n, of: [f"{draw.choice('abcdefgh')}{draw.randrange(of)}" for _ in range(n)]
+    items = [(i, some(draw.choice((6, 20, 45, 120)), 400)) for i in range(300)] + [(900, some(3000, 400))]
+    rows = []
+    for i in range(60):
+        words = some(draw.choice((5, 300)), 400)
+        item = draw.choice(items[:300])[1] if i % 3 else items[300][1]
+        keep = [w for w in item if draw.random() > 0.04]
+        rows.append((i, [*words, *keep, *words[::-1]] if i % 4 else words))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(df, bench).collect()}
+    want = {(i, j) for i, w in rows for j, item in items if len(set(w) & set(item)) > len(set(item)) / 3 and decontaminate.align([x.encode() for x in item], [x.encode() for x in w])[0] >= 0.6 * 2 * len(item)}
+    assert len(want) >= 40 and got == want
+
+
+def test_reach_follows_the_items_of_a_hit(spark):
+    item = [f"q{j}" for j in range(30)]
+    docs = spark.createDataFrame([(i, " ".join([*(f"p{i}x{j}" for j in range(2000)), *item, *(f"s{i}x{j}" for j in range(2000))])) for i in range(20)], "doc_id long, text string")
+    long = " ".join(f"l{j}" for j in range(4000))
+    sizes = []
+    for items in ([(1, " ".join(item))], [(1, " ".join(item)), (2, long)]):
+        cut = decontaminate.passages_of(docs, spark.createDataFrame(items, "item_id long, text string"), 3, 0.6)[1]
+        sizes.append(cut.agg(F.sum(F.length("words"))).first()[0])
+    assert sizes[0] == sizes[1]
+
+
 def test_alignment():
     a = "a b c d e f".split()
     assert decontaminate.align(a, a) == (12, 6)
