@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinloom.llm import apportion, decontaminate, jaccard_join, quality_ratio, secret_ledger
-from kinloom.llm.common import settle, table, without_ids
+from kinloom.llm.common import settle, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,22 +21,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every group of near copies.
+    """One document of every group of near copies: five words to a shingle, similarity 0.8.
 
-    Rows without an id, or without words, are groups of their own and stay; of
-    repeated rows one stays.
+    The least id of a group stays, a row without id only where no row of the group has
+    one. Documents without words are in no group and stay.
     """
-    groups = settle(jaccard_join.jaccard_groups(docs).select("doc_id", "component_id"), "groups")
-    others = groups.where("doc_id <> component_id").select("doc_id")
-    repeated = settle(groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    kept = without_ids(docs, others.unionByName(repeated))
-    once = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(once)
+    return jaccard_join.without_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    return decontaminate.without_leaks(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
+    """Documents without a passage of a benchmark item, decided row by row."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
