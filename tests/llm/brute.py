@@ -118,49 +118,56 @@ def language_model(docs):
     """doc_id -> held_out, tokens, known, base, score; docs: (doc_id, text), ids distinct."""
     END, START = "</s>", "<s>"
     tokens = {i: [*words(t, True), END] for i, t in docs}
-    one = {k: Counter() for k in ("kept", "all")}
-    two = {k: Counter() for k in ("kept", "all")}
+    counts = {k: [Counter(), Counter(), Counter()] for k in ("kept", "all")}
     starts = {"kept": 0, "all": 0}
+
+    def windows(w):
+        return zip([START, START, *w], [START, *w], w)
+
     for i, w in tokens.items():
         for which, used in (("kept", crc(i, 10) > 1), ("all", crc(i, 10) > 0)):
             if used:
-                one[which].update(w)
-                two[which].update(zip([START, *w], w))
+                one, two, three = counts[which]
+                one.update(w)
+                two.update((b, c) for _, b, c in windows(w))
+                three.update(windows(w))
                 starts[which] += 1
-    n, v = sum(one["all"].values()), len(one["all"])
-    nk = sum(one["kept"].values())
+    n, v = sum(counts["all"][0].values()), len(counts["all"][0])
+    nk = sum(counts["kept"][0].values())
 
-    def parts(which, total, a, b):
-        c = starts[which] if a == START else one[which][a]
-        return (c.bit_length() if c else 0), (two[which][a, b] / c if c else 0.0), (one[which][b] / total if total else 0.0)
+    def parts(which, total, a, b, c):
+        one, two, three = counts[which]
+        of_two = starts[which] if b == START else (two[a, b])
+        of_one = starts[which] if b == START else one[b]
+        state = min(of_two.bit_length(), 20) if of_two else 32 + of_one.bit_length()
+        return state, three[a, b, c] / of_two if of_two else 0.0, two[b, c] / of_one if of_one else 0.0, one[c] / total if total else 0.0
 
     held = defaultdict(list)
     for i, w in tokens.items():
-        if crc(i, 10) == 1:
-            for a, b in zip([START, *w], w):
-                level, p2, p1 = parts("kept", nk, a, b)
-                held[level].append((p2 * (v + 1), p1 * (v + 1), 1.0))
+        if crc(i, 10) == 1 and nk:
+            for a, b, c in windows(w):
+                state, p3, p2, p1 = parts("kept", nk, a, b, c)
+                held[state].append((p3 * (v + 1), p2 * (v + 1), p1 * (v + 1), 1.0))
     mixture = {}
-    for level in range(66):
-        w = (0.0, 0.9, 0.1) if level == 0 else ((0.4, 0.5, 0.1) if level == 1 or held[level] else mixture[level - 1])
-        if held[level] and nk:
-            for _ in range(30):
-                sums = [0.0] * 3
-                for x in held[level]:
-                    z = sum(p * q for p, q in zip(w, x))
-                    sums = [s + p * q / z for s, p, q in zip(sums, w, x)]
-                w = tuple(s / len(held[level]) for s in sums)
-        mixture[level] = w
+    for state in range(64):
+        first = (0.0, 0.0, 0.9, 0.1) if state in (0, 32) else (0.0, 0.4, 0.5, 0.1) if state > 32 else (0.4, 0.3, 0.2, 0.1)
+        w = first if state in (0, 1, 32, 33) or held[state] else mixture[state - 1]
+        for _ in range(30 if held[state] else 0):
+            sums = [0.0] * 4
+            for x in held[state]:
+                z = sum(p * q for p, q in zip(w, x))
+                sums = [s + p * q / z for s, p, q in zip(sums, w, x)]
+            w = tuple(s / len(held[state]) for s in sums)
+        mixture[state] = w
     out = {}
     for i, w in tokens.items():
         score = base = 0.0
-        for a, b in zip([START, *w], w):
-            level, p2, p1 = parts("all", n, a, b)
-            m = mixture[level]
-            m = (m[0], m[1], max(m[2], 1e-6))
-            if level == 0:
-                m = (0.0, m[0] + m[1], m[2])
-            score += math.log10((m[0] * p2 + m[1] * p1 + m[2] / (v + 1)) / sum(m))
-            base += math.log10((one["all"][b] + 0.1) / (n + 0.1 * (v + 1)))
-        out[i] = (crc(i, 10) == 0, len(w), sum(one["all"][b] > 0 for b in w), n, base, score)
+        for a, b, c in windows(w):
+            state, *p = parts("all", n, a, b, c)
+            m = (*mixture[state][:3], max(mixture[state][3], 1e-6))
+            if not n:
+                m = (0.0, 0.0, 0.0, 1.0)
+            score += math.log10((sum(x * y for x, y in zip(m, p)) + m[3] / (v + 1)) / sum(m))
+            base += math.log10((counts["all"][0][c] + 0.1) / (n + 0.1 * (v + 1)))
+        out[i] = (crc(i, 10) == 0, len(w), sum(counts["all"][0][x] > 0 for x in w), n, base, score)
     return out

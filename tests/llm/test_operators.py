@@ -191,7 +191,7 @@ def test_sainte_lague(spark, votes, seats):
 
 def test_language_model_equals_brute_force(texts, docs):
     want = brute.language_model(texts)
-    for sizes in ({}, {"chunk_tokens": 3000, "part_keys": 2000}):
+    for sizes in ({}, {"chunk_tokens": 3000, "part_keys": 2000}, {"chunk_tokens": 3000, "part_keys": 4000, "fan_bits": 2}):
         got = by_id(interpolated_lm.score_texts(docs, **sizes), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
         assert got.keys() == want.keys()
         for i, w in want.items():
@@ -202,6 +202,24 @@ def test_language_model_equals_brute_force(texts, docs):
     assert sum(g[5] for g in held) > sum(g[4] for g in held)
 
 
+def test_messages_grow_with_the_corpus(spark, texts):
+    """Twice the chunks send about twice the messages, on every level."""
+    rows = [(i, t) for i, t in texts if i % 3 == 0]
+
+    def messages(copies):
+        df = spark.createDataFrame([(i + 1000 * c, f"{t} {c}") for c in range(copies) for i, t in rows], "doc_id long, text string").coalesce(1)
+        seen = []
+        settle, interpolated_lm.settle = interpolated_lm.settle, lambda x, label: (seen.append((label, y := settle(x, label))), y)[1]
+        try:
+            interpolated_lm.score_texts(df, chunk_tokens=500, part_keys=500, fan_bits=2).count()
+        finally:
+            interpolated_lm.settle = settle
+        return sum(x.count() for label, x in seen if label in ("sent", "counts"))
+
+    small, large = messages(2), messages(4)
+    assert large <= 2.6 * small
+
+
 def test_language_model_odd_rows(odd, none):
     want = brute.language_model(ODD)
     got = by_id(interpolated_lm.score_texts(odd), "held_out", "n_tokens", "n_known", "train_tokens", "base_score")
