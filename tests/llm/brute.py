@@ -171,3 +171,41 @@ def language_model(docs):
             base += math.log10((counts["all"][0][c] + 0.1) / (n + 0.1 * (v + 1)))
         out[i] = (crc(i, 10) == 0, len(w), sum(counts["all"][0][x] > 0 for x in w), n, base, score)
     return out
+
+
+def quotation_links(rows):
+    """rows: (conv, turn, text). {(conv, turn): [(depth, original or None) per passage]}; direct comparison of lines."""
+    flat = lambda x: " ".join(x.casefold().split())
+
+    def runs(text):
+        out = []
+        for line in text.split("\n"):
+            m = re.match(r"\s{0,3}((?:>\s?)+)", line)
+            depth, rest = (m[1].count(">"), line[m.end() :]) if m else (0, line)
+            if not out or out[-1][0] != depth:
+                out.append((depth, []))
+            out[-1][1].append(rest)
+        return out
+
+    said = {}
+    for conv, turn, text in rows:
+        own = [p for d, p in runs(text) if d == 0]
+        lines = [x for p in own for x in p]
+        whole = {flat("\n".join(x)) for x in (lines, *own)} | {flat(x) for x in re.split(r"\n\s*\n", "\n".join(lines))}
+        said.setdefault((conv, turn), []).append((whole, [flat(x) for x in lines if flat(x)]))
+
+    def offers(at, lines):
+        n = len(lines)
+        return any(" ".join(lines) in whole or any(have[i : i + n] == lines for i in range(len(have) - n + 1)) for whole, have in said[at])
+
+    out = {}
+    for conv, turn, text in rows:
+        told = []
+        for depth, p in runs(text):
+            lines = [flat(x) for x in p if flat(x)]
+            if depth and lines:
+                inside = [a for a in said if a[0] == conv and a[1] < turn and offers(a, lines)]
+                outside = [a for a in said if a[0] != conv and len(" ".join(lines)) >= 4 and offers(a, lines)]
+                told.append((depth, max(inside) if inside else min(outside) if outside else None))
+        out[conv, turn] = told
+    return out

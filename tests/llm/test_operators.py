@@ -428,6 +428,70 @@ def test_quotations(spark):
     assert chat_quotes.reply_ordered(df.limit(0)).count() == 0
 
 
+def quoting(n_convs=12, n_turns=14):
+    """Conversations with nested, partial, rewrapped, short, foreign and invented quotes, and one hot line."""
+    import random
+
+    draw = random.Random(11)
+    rows, bodies = [], {}
+    for conv in range(n_convs):
+        for turn in range(n_turns):
+            lines = [f"line {draw.randrange(4000)} of {conv % 5} {draw.choice(['Über', 'says', 'x'])}" for _ in range(draw.randrange(1, 8))]
+            lines.insert(draw.randrange(len(lines) + 1), draw.choice(["yes", "ok", "", "", "Thank you all."]))
+            quote = []
+            for _ in range(draw.randrange(3)):
+                of = draw.choice(list(bodies)) if bodies and draw.random() < 0.3 else (conv, draw.randrange(turn)) if turn else None
+                if of is None:
+                    continue
+                from_lines = bodies[of]
+                a = draw.randrange(len(from_lines))
+                some = from_lines[a : a + draw.randrange(1, 8)]
+                if draw.random() < 0.2:
+                    some = " ".join(from_lines).upper().split()
+                    some = [" ".join(some[i : i + 4]) for i in range(0, len(some), 4)]
+                if draw.random() < 0.1:
+                    some = [*some, "never said by anyone"]
+                mark = draw.choice(["> ", ">", "> > ", " >> "])
+                quote += [[mark + x for x in some]]
+            parts = [*quote[:1], lines[:3], *quote[1:], lines[3:]]
+            rows.append((conv, turn, "u", "\n".join(x for p in parts for x in p)))
+            bodies[conv, turn] = lines
+    return rows
+
+
+def test_quotations_equal_brute_force(spark):
+    rows = quoting()
+    want = brute.quotation_links([(c, t, x) for c, t, _, x in rows])
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    _, linked = chat_quotes.link_quotes(df)
+    got = Counter((r.conv_id, r.turn, r.depth, (r.from_conv, r.from_turn)) for r in linked.collect())
+    told = Counter((*at, depth, o) for at, links in want.items() for depth, o in links if o)
+    assert sum(told.values()) > 100 and any(o[0] != c for c, _, _, o in told)
+    assert got == told
+    by = {(r.conv_id, r.turn): r for r in chat_quotes.reply_ordered(df).collect()}
+    for at, links in want.items():
+        inside = [(d, o[1]) for d, o in links if o and o[0] == at[0]]
+        parent = max(t for d, t in inside if d == min(inside)[0]) if inside else None
+        assert (by[at].n_quotes, by[at].n_linked, by[at].parent_turn) == (len(links), sum(o is not None for _, o in links), parent)
+
+
+def test_parts_of_a_message_and_short_quotes(spark):
+    said = "one a\ntwo b\nthree c\nfour d\nfive e\u2028same line\n\nlast f"
+    rows = [
+        (1, 0, "u", said), (1, 1, "a", "> two b\n> three c\nfirst answer\n> last f\nsecond answer"), (1, 2, "u", "> one a\n> two b\n> three c\n> four d\n> five e same line\n>\n> last f\nall"),
+        (1, 3, "u", "> first answer\nno"), (1, 4, "a", "> no\nwhy"), (2, 0, "u", "> no\nnot from there"), (2, 1, "u", "> three c\n> four d\n> five e same line\nfrom there"),
+        (5, 0, "u", "five times"), (6, 0, "u", "five times"), (5, 1, "u", "other"), (5, -1, "u", "> five times\nsaid later here, but there too"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    parsed, linked = chat_quotes.link_quotes(df)
+    got = sorted((r.conv_id, r.turn, r.from_conv, r.from_turn) for r in linked.collect())
+    assert got == [(1, 1, 1, 0), (1, 1, 1, 0), (1, 2, 1, 0), (1, 3, 1, 1), (1, 4, 1, 3), (2, 1, 1, 0), (5, -1, 6, 0)]
+    assert [r.body for r in parsed.where("conv_id = 1 and turn = 0").collect()] == [said]
+    long = "\n".join(f"row {i} of many" for i in range(3000))
+    df = spark.createDataFrame([(1, 0, "u", long), (1, 1, "u", "\n".join("> " + x for x in long.split("\n")[700:2500]))], "conv_id long, turn long, role string, text string")
+    assert [(r.turn, r.parent_turn) for r in chat_quotes.reply_ordered(df).orderBy("turn").collect()] == [(0, None), (1, 0)]
+
+
 def test_conversations_keep_every_turn(spark, sf):
     got = queries()["op3_quotation_links"](spark, sf).collect()
     given = {(r.conv_id, r.turn): r for r in common.table(spark, sf, "conversations").collect()}
