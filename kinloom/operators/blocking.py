@@ -8,13 +8,17 @@ before the join and so bound its fan-out.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinloom.functions import text as T
 from kinloom.functions.keys import with_keys
+from kinloom.storage import settle
 
+PROBES = ("name", "nrev", "city", "housenum", "empty")
 MAX_BUCKET, CITY_CAP, STOP_THRESHOLD, STOP_SAMPLE = 500, 80, 50, 10_000
 
 
@@ -42,8 +46,11 @@ def index_entries(records: DataFrame, stops: Iterable[str] = ()) -> DataFrame:
 
 
 def bucket_sizes(entries: DataFrame) -> DataFrame:
-    """``probe, key, n2, n3``: rows, not distinct ids, per source."""
-    return entries.groupBy("probe", "key").agg(F.count_if(F.col("src") == 2).alias("n2"), F.count_if(F.col("src") == 3).alias("n3"))
+    """``probe, key, n2, n3``: rows, not distinct ids, per source.
+
+    A key names its probe, so it is grouped by the key alone and meets the index on the same partitions.
+    """
+    return entries.groupBy("key").agg(F.min("probe").alias("probe"), F.count_if(F.col("src") == 2).alias("n2"), F.count_if(F.col("src") == 3).alias("n3")).select("probe", "key", "n2", "n3")
 
 
 def capped_sizes(sizes: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame:
@@ -70,6 +77,11 @@ def capped_index(entries: DataFrame, max_bucket: int = MAX_BUCKET, city_cap: int
     return live.where(F.when(F.col("src") == 2, F.col("e2") > 0).otherwise(F.col("e3") > 0)).select("probe", "key", "src", "entity_id")
 
 
+def source_keys(sizes: DataFrame, column: str, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """Keys of one source (``n2`` or ``n3``) that its own cap leaves."""
+    return sizes.where(F.col(column).between(1, max_bucket)).select("probe", "key", column)
+
+
 def dropped_keys(sizes: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """One row: keys kept and dropped per source, and by the merged cap."""
     e2 = F.when(F.col("n2") <= max_bucket, F.col("n2")).otherwise(F.lit(0))
@@ -92,12 +104,55 @@ def candidate_pairs(queries: DataFrame, index: DataFrame, stops: Iterable[str] =
     return found.where("cand <> entity_id").select(*keep, "cand").distinct()
 
 
-def self_pairs(records: DataFrame, stops: Iterable[str] = (), city_cap: int = CITY_CAP) -> DataFrame:
-    """Candidates of a relation within itself, with the city cap alone."""
-    entries = with_keys(records, stops, "entity_id")
-    sizes = entries.groupBy("probe", "key").agg(F.count(F.lit(1)).alias("size"))
-    live = entries.join(sizes.where((F.col("probe") != "city") | (F.col("size") <= city_cap)).select("key"), "key")
-    return candidate_pairs(records, live, stops)
+def _live_entries(records: DataFrame, stops: Iterable[str], city_cap: int, max_bucket: int | None) -> DataFrame:
+    """``entity_id, probe, key`` within a relation, caps applied."""
+    entries = settle(with_keys(records, stops, "entity_id"), "entries")
+    kept = entries.groupBy("key").agg(F.min("probe").alias("probe"), F.count(F.lit(1)).alias("size")).where((F.col("probe") != "city") | (F.col("size") <= city_cap))
+    if max_bucket is not None:
+        kept = kept.where(F.col("size") <= max_bucket)
+    return entries.join(kept.select("key"), "key")
+
+
+def self_pairs(records: DataFrame, stops: Iterable[str] = (), city_cap: int = CITY_CAP, max_bucket: int | None = MAX_BUCKET) -> DataFrame:
+    """Distinct pairs ``a < b`` of ids of a relation that share a key.
+
+    A bucket holds ``max_bucket`` records at most, so the join is linear in the records.
+    ``None`` lifts that cap; the pairs then grow with the squares of the buckets, where
+    ``self_counts`` says what they add up to without making them.
+    """
+    live = _live_entries(records, stops, city_cap, max_bucket).select("key", "entity_id").distinct()
+    both = live.select("key", F.col("entity_id").alias("a")).join(live.select("key", F.col("entity_id").alias("b")), "key")
+    return both.where("a < b").select("a", "b").distinct()
+
+
+def self_counts(records: DataFrame, stops: Iterable[str] = (), city_cap: int = CITY_CAP, max_bucket: int | None = None) -> DataFrame:
+    """``entity_id, n, first_cand, last_cand``: how many others share a key, the least and the greatest.
+
+    No pair is made. A record has one key per probe at most, so the records that share
+    any key with it are those of all its key sets, by inclusion and exclusion:
+    those that agree on a probe, less those that agree on two, and so on. That is
+    15 rows a record, summed map-side, whatever the buckets hold. Ids are taken to name one
+    record each; where one has several sets of keys, the pairs are counted instead.
+    """
+    live = settle(_live_entries(records, stops, city_cap, max_bucket), "live")
+    of_one = live.distinct().groupBy("entity_id")
+    wide = of_one.agg(*(F.max(F.when(F.col("probe") == p, F.col("key"))).alias(p) for p in PROBES), F.count(F.lit(1)).alias("_keys"), F.count_distinct("probe").alias("_probes"))
+    if not wide.where("_keys > _probes").isEmpty():
+        pairs = self_pairs(records, stops, city_cap, max_bucket)
+        ends = pairs.select(F.col("a").alias("entity_id"), F.col("b").alias("cand")).unionByName(pairs.select(F.col("b").alias("entity_id"), F.col("a").alias("cand")))
+        return ends.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"), F.min("cand").alias("first_cand"), F.max("cand").alias("last_cand"))
+    sets = [c for k in range(1, len(PROBES) + 1) for c in combinations(PROBES, k) if k == 1 or "empty" not in c]
+    agreed = F.array_compact(F.array(*(F.when(reduce(lambda x, y: x & y, (F.col(p).isNotNull() for p in c)), F.struct(F.lit(len(c)).alias("probes"), F.xxhash64(*c).alias("h"), F.concat_ws("\x1f", *c).alias("keys"))) for c in sets)))
+    rows = wide.select("entity_id", F.inline(agreed))
+    same = ["probes", "h", "keys"]
+    ends = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("size"), F.min("entity_id").alias("low"), F.max("entity_id").alias("high"))
+    told = rows.join(ends.where("size > 1"), same)
+    single = F.col("probes") == 1
+    inner = told.where(single).groupBy(*same).agg(F.min(F.when(F.col("entity_id") != F.col("low"), F.col("entity_id"))).alias("low2"), F.max(F.when(F.col("entity_id") != F.col("high"), F.col("entity_id"))).alias("high2"))
+    told = told.join(inner, same, "left")
+    other = lambda end: F.when(single, F.when(F.col("entity_id") != F.col(end), F.col(end)).otherwise(F.col(f"{end}2")))
+    sign = F.when(F.col("probes") % 2 == 1, 1).otherwise(-1)
+    return told.groupBy("entity_id").agg(F.sum(sign * (F.col("size") - 1)).alias("n"), F.min(other("low")).alias("first_cand"), F.max(other("high")).alias("last_cand"))
 
 
 def candidate_lists(queries: DataFrame, pairs: DataFrame, row: str) -> DataFrame:

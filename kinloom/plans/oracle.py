@@ -6,7 +6,7 @@ common table expressions instead of expressions per row.
 
 from __future__ import annotations
 
-from kinloom.functions.text import LEGAL_WORDS
+from kinloom.functions.text import CANONICAL, LEGAL_WORDS
 from kinloom.plans.relations import with_views
 
 SPACES = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
@@ -53,6 +53,23 @@ def number(c: str) -> str:
     return f"coalesce(nullif(regexp_extract({c}, '{label}', 1), ''), regexp_extract({c}, '\\p{{Nd}}+', 0))"
 
 
+def soundex(c: str) -> str:
+    """Of an ASCII word: H and W part nothing, vowels part equal digits."""
+    upper = f"upper({c})"
+    digits = f"translate(substring({upper}, 1, 1) || regexp_replace(substring({upper}, 2), '[HW]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230120022455012623010202')"
+    for d in "123456":
+        digits = f"regexp_replace({digits}, '{d}+', '{d}', 'g')"
+    return f"case when {c} = '' then '' else substring({upper}, 1, 1) || rpad(replace(substring({digits}, 2), '0', ''), 3, '0') end"
+
+
+def canonical(c: str) -> str:
+    spelled = " ".join(f"when '{k}' then '{v}'" for k, v in CANONICAL.items())
+    landmark = r"(?i)^(?:near|opp\.?|opposite|behind|beside|next to)(?:[^\p{L}\p{N}_]|$)"
+    word = f"case {clean('w')} {spelled} else case w {spelled} else {clean('w')} end end"
+    kept = f"list_filter(list_transform(string_split({c}, ','), lambda p: {strip_noise('p')}), lambda p: p <> '' and not regexp_matches(p, '{landmark}'))"
+    return f"array_to_string(list_transform({kept}, lambda p: array_to_string(list_transform(string_split_regex(lower(p), '{WS}+'), lambda w: {word}), ' ')), ', ')"
+
+
 def parsed(name: str, source: str, stops: str = "") -> list[str]:
     """Views up to ``name``: per record the telling words ``sig`` and the other key parts.
 

@@ -58,11 +58,10 @@ _text_query("name_prefix3_rev", "business_name", lambda: T.name_prefix("business
 _text_query("last_addr_segment", "business_address", lambda: F.coalesce(T.last_segment("business_address"), F.lit("")), "seg", _parsed, "pr")
 _text_query("house_number", "business_address", lambda: T.house_number("business_address"), O.number(_addr))
 _text_query("country_norm", "country", lambda: T.country_label("country"), f"lower({O.strip_noise(_ctry)})")
-_text_query("soundex_name", "business_name", lambda: F.soundex(F.regexp_extract(F.coalesce("business_name", F.lit("")), "[A-Za-z]+", 0)), "regexp_extract(coalesce(business_name, ''), '[A-Za-z]+', 0)")
-ORACLES.pop("soundex_name")
+_first_word = "regexp_extract(coalesce(business_name, ''), '[A-Za-z]+', 0)"
+_text_query("soundex_name", "business_name", lambda: F.soundex(F.regexp_extract(F.coalesce("business_name", F.lit("")), "[A-Za-z]+", 0)), O.soundex(_first_word))
 _text_query("postal_code", "business_address", lambda: F.regexp_extract(T.text("business_address"), r"(?:^|[^0-9])([0-9]{5,6})(?:[^0-9]|$)", 1), f"regexp_extract({_addr}, '(?:^|[^0-9])([0-9]{{5,6}})(?:[^0-9]|$)', 1)")
-_text_query("canonical_address", "business_address", lambda: T.canonical_words("business_address"), "''")
-ORACLES.pop("canonical_address")
+_text_query("canonical_address", "business_address", lambda: T.canonical_words("business_address"), O.canonical(_addr))
 
 
 @query(O.query([*with_views("er_all"), *_parsed, O.keyed("ks", "pr", "entity_id, k")], "select entity_id, k, probe, key from ks"))
@@ -115,7 +114,7 @@ def index_stats(spark, sf_dir):
 
 @query(O.query(O.blocking(), "select probe, key, n2 from sizes where n2 between 1 and 100"))
 def cap_index(spark, sf_dir):
-    return B.bucket_sizes(_entries(spark, sf_dir)[1]).where("n2 between 1 and 100").select("probe", "key", "n2")
+    return B.source_keys(B.bucket_sizes(_entries(spark, sf_dir)[1]), "n2", SMALL.max_bucket)
 
 
 @query(O.query(O.blocking(), "select count(*) filter (n2 > 0) as keys_s2, count(*) filter (n3 > 0) as keys_s3, count(*) filter (n2 > 100) as dropped_s2, count(*) filter (n3 > 100) as dropped_s3, count(*) filter (e2 + e3 > 100) as dropped_merged, count(*) filter (e2 + e3 between 1 and 100) as keys_kept from eff"))
@@ -165,15 +164,23 @@ def run_stats(spark, sf_dir):
     return B.run_stats(reference, blocking_run(reference, others, "k", SMALL))
 
 
+def _self_views(cap: str) -> list[str]:
+    return [*with_views("er_part"), *O.parsed("ap", "er_part"), O.keyed("ak", "ap", "entity_id"), "az as (select key, count(*) as size from ak group by 1)", f"al as (select ak.* from ak join az using (key) where {cap})"]
+
+
 @query(
     O.query(
-        [*with_views("er_part"), *O.parsed("ap", "er_part"), O.keyed("ak", "ap", "entity_id"), "az as (select key, count(*) as size from ak group by 1)", "al as (select ak.* from ak join az using (key) where probe <> 'city' or size <= 80)"],
+        _self_views("probe <> 'city' or size <= 80"),
         "select a.entity_id, count(distinct b.entity_id) as n, min(b.entity_id) as first_cand, max(b.entity_id) as last_cand from ak a join al b using (key) where a.entity_id <> b.entity_id group by 1",
     )
 )
 def self_blocking(spark, sf_dir):
-    pairs = B.self_pairs(relation(spark, sf_dir, "er_part"))
-    return pairs.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"), F.min("cand").alias("first_cand"), F.max("cand").alias("last_cand"))
+    return B.self_counts(relation(spark, sf_dir, "er_part"))
+
+
+@query(O.query(_self_views("size <= case when probe = 'city' then 80 else 500 end"), "select distinct a.entity_id as a, b.entity_id as b from al a join al b using (key) where a.entity_id < b.entity_id"))
+def self_blocking_pairs(spark, sf_dir):
+    return B.self_pairs(relation(spark, sf_dir, "er_part"))
 
 
 # Sampling.

@@ -36,15 +36,15 @@ select cast(doc_id%3 + 1 as int) as src, doc_id as k,
 from documents""",
     "er_lit": """
 select cast(0 as int) as src, cast(k as bigint) as k, 'L-'||cast(k as string) as entity_id, business_name, business_address, country from (values
-  (1, 'राम मार्केटिंग प्राइवेट लिमिटेड', 'KH NO. -570/13, NEW DELHI, WEST DELHI, Delhi', 'India'),
-  (2, '-- Holloway Peak Inc Seafood', '105 ELM ST, MORGANTON, NC', 'US'),
-  (3, '<< Team^Ecole.', '175 Boulevard Roosevelt, Bordeaux, Nouvelle-Aquitaine', ' France'),
-  (4, 'Pvt. Ltd.', '41 St, Door NO.90, x', '(india)'),
-  (5, 'ООО Ромашка', 'Москва, ул. No5 8', 'RU'),
-  (6, '&?_x&', 'Connaught Place, New Delhi, Delhi', 'India'),
+  (1, 'गंगा वस्त्र भंडार लिमिटेड', 'Plot NO. -27/4, PUNE CITY, Maharashtra', 'India'),
+  (2, '-- Grelling Mill Inc Bakery', '88 OAK AVE, TULSA, OK', 'US'),
+  (3, '<< Studio^Lumen.', '12 Rue des Lilas, Nantes, Pays-de-la-Loire', ' France'),
+  (4, 'Pvt. Ltd.', '7 Quay, Flat NO.31, y', '(india)'),
+  (5, 'ЗАО Берёза', 'Казань, ул. No7 3', 'RU'),
+  (6, '&?_z&', 'Near Clock Tower, Old Market, Jaipur', 'India'),
   (7, '...', ', ,', '--'),
-  (8, 'QS-Automobiles LLC', '6905-C Darmstadt Rd, Evansville, IN', 'US'),
-  (9, 'École Élan GmbH', 'Door No 183, 41St Cross, Bengaluru, Karnataka', 'France'),
+  (8, 'TK-Motoren LLC', '310-B Harbour St., Portland, ME', 'US'),
+  (9, 'Éclat Öre GmbH', 'Shop No 64, 9Th Main Rd, Mysuru, Karnataka', 'France'),
   (10, '', '', ''),
   (11, cast(null as string), cast(null as string), cast(null as string))
 ) as t(k, business_name, business_address, country)""",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinloom.functions import text as T
 from kinloom.operators import blocking as B
+from kinloom.storage import settle
 
 
 @dataclass(frozen=True)
@@ -23,7 +24,7 @@ class Settings:
 def blocking_run(reference: DataFrame, others: DataFrame, row: str, settings: Settings = Settings()) -> DataFrame:
     """Candidate lists of ``reference`` (ordered by ``row``) in ``others`` (with ``src`` 2 or 3)."""
     stops = B.stop_words(reference, row, settings.stop_sample, settings.stop_threshold)
-    index = B.capped_index(B.index_entries(others, stops), settings.max_bucket, settings.city_cap)
+    index = B.capped_index(settle(B.index_entries(others, stops), "index"), settings.max_bucket, settings.city_cap)
     asked = B.first_rows(reference, settings.limit, row)
     pairs = B.candidate_pairs(asked, index, stops, row, "entity_id")
     return B.candidate_lists(asked, pairs, row)

@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from kinloom.operators import blocking as B
@@ -49,6 +51,21 @@ def test_larger_caps_only_add(spark, sf):
     assert small.join(large, ["k", "entity_id", "cand"], "left_anti").count() == 0
 
 
+@pytest.mark.parametrize("max_bucket", [None, 3])
+def test_self_counts_equal_pairs(spark, max_bucket):
+    names = ["Acme Tools", "Acme Toys", "Ace Tools", "Zed", "", "Acme"]
+    rows = [(i, 1, f"S1-{i}", names[i % 6], f"{i % 4} Road, {'AB'[i % 2]}" if i % 5 else "", "US") for i in range(40)]
+    for given in (rows, [*rows, (99, 1, "S1-3", "Other", "", "FR")]):
+        df = records(spark, given)
+        pairs = [(r.a, r.b) for r in B.self_pairs(df, city_cap=9, max_bucket=max_bucket).collect()]
+        assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+        want = {}
+        for x, y in [*pairs, *((b, a) for a, b in pairs)]:
+            want.setdefault(x, []).append(y)
+        got = {r.entity_id: (r.n, r.first_cand, r.last_cand) for r in B.self_counts(df, city_cap=9, max_bucket=max_bucket).collect()}
+        assert got == {k: (len(v), min(v), max(v)) for k, v in want.items()}
+
+
 def test_f_half_worked_example(spark):
     schema = "source1_entity_id string, matched_entity_ids string"
     truth = spark.createDataFrame([("S1-1", "S2-00047,S3-00812"), ("S1-2", ""), ("S1-3", None), ("S1-4", "S2-1")], schema)
