@@ -64,13 +64,13 @@ def capped_sizes(sizes: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame:
     return kept.where((F.col("size") > 0) & (F.col("size") <= max_bucket))
 
 
-def capped_index(entries: DataFrame, max_bucket: int = MAX_BUCKET, city_cap: int | None = CITY_CAP) -> DataFrame:
+def capped_index(entries: DataFrame, max_bucket: int = MAX_BUCKET, city_cap: int | None = CITY_CAP, sizes: DataFrame | None = None) -> DataFrame:
     """Index rows that can still give candidates.
 
     City buckets over ``city_cap`` add nothing that a stronger probe has not, so
     they leave the index before the join.
     """
-    keys = capped_sizes(bucket_sizes(entries), max_bucket)
+    keys = capped_sizes(bucket_sizes(entries) if sizes is None else sizes, max_bucket)
     if city_cap is not None:
         keys = keys.where((F.col("probe") != "city") | (F.col("size") <= city_cap))
     live = entries.join(keys.drop("probe"), "key")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinloom.functions import text as T
@@ -13,8 +14,11 @@ from kinloom.operators import blocking as B
 from kinloom.plans import measures as M
 from kinloom.plans import oracle as O
 from kinloom.plans import validate as V
+from kinloom.plans.files import run_blocking, validate
 from kinloom.plans.relations import relation, with_views
 from kinloom.plans.run import Settings, aligned_sample, blocking_run
+from kinloom.sources import tsv
+from kinloom.storage import scratch
 
 #: Small caps, so that every cap has something to do at the size of the checks.
 SMALL = Settings(max_bucket=100, city_cap=40)
@@ -413,3 +417,181 @@ def levenshtein_name(spark, sf_dir):
 def tfidf_cosine(spark, sf_dir):
     rows = relation(spark, sf_dir, "er_part").select(F.col("entity_id").alias("id"), T.significant_tokens("business_name").alias("tokens"))
     return M.tfidf_cosine(_similar(spark, sf_dir).select(F.col("entity_id_a").alias("a"), F.col("entity_id_b").alias("b")), rows)
+
+
+# Files: relations written to the shared folder as TSV and read back.
+
+
+def _file(spark, sf_dir, name: str, where: str) -> str:
+    """A source file of a relation, in the order of its keys."""
+    path = scratch(spark, "tsv")
+    tsv.write_records(relation(spark, sf_dir, name).where(where).orderBy("k", "entity_id"), path)
+    return path
+
+
+def _text_file(lines: DataFrame, path: str) -> str:
+    """Lines ``place, value`` as one text file folder, in order."""
+    lines.orderBy("place").select("value").write.mode("overwrite").text(path)
+    return path
+
+
+_strip_id = O.strip_space("entity_id")
+
+
+@query(O.query(with_views("er_run"), f"select {_strip_id} as entity_id, business_name, business_address, country from er_run where src = 2 and {_strip_id} <> ''"))
+def tsv_index_scan(spark, sf_dir):
+    return tsv.index_records(tsv.read_records(spark, _file(spark, sf_dir, "er_run", "src = 2")))
+
+
+@query(O.query(with_views("er_run"), "select row_number() over (order by k, entity_id) as line, entity_id, business_name, business_address, country from er_run where src = 1"))
+def tsv_numbered_scan(spark, sf_dir):
+    rows = tsv.read_records(spark, _file(spark, sf_dir, "er_run", "src = 1"), numbered=True)
+    return rows
+
+
+_raw_lines = """raw_lines as (select -1 as place, 'entity_id' || chr(9) || 'business_name' || chr(9) || 'country' as value
+  union all select k, entity_id || chr(9) || case when k % 5 = 0 then business_name else '"' || business_name || '" x' || chr(9) || country || chr(9) || 'more' end from er_run where src = 2)"""
+
+
+@query(O.query([*with_views("er_run"), _raw_lines, "p as (select string_split(value, chr(9)) as p from raw_lines where place >= 0)"], "select p[1] as entity_id, coalesce(p[2], '') as business_name, '' as business_address, coalesce(p[3], '') as country from p where p[1] <> ''"))
+def tsv_raw_scan(spark, sf_dir):
+    rows = relation(spark, sf_dir, "er_run").where("src = 2")
+    quoted = F.concat(F.lit('"'), "business_name", F.lit('" x\t'), "country", F.lit("\tmore"))
+    lines = rows.select(F.col("k").alias("place"), F.concat("entity_id", F.lit("\t"), F.when(F.col("k") % 5 == 0, F.col("business_name")).otherwise(quoted)).alias("value"))
+    head = spark.range(1).select(F.lit(-1).cast("long").alias("place"), F.lit("entity_id\tbusiness_name\tcountry").alias("value"))
+    return tsv.read_raw_records(spark, _text_file(head.unionByName(lines).coalesce(1), scratch(spark, "raw"))).drop("line")
+
+
+@query(O.query(with_views("er_part"), "select cast(place as integer) as place, c as \"column\", t as \"type\", (select count(*) from er_part where src = 3) as n_rows from (values (0, 'k', 'int'), (1, 'entity_id', 'string'), (2, 'half', 'double')) v(place, c, t)"))
+def tsv_inferred(spark, sf_dir):
+    path = scratch(spark, "inferred")
+    relation(spark, sf_dir, "er_part").where("src = 3").select("k", "entity_id", (F.col("k") + 0.5).cast("double").alias("half")).write.csv(path, sep="\t", header=True)
+    return tsv.shape(tsv.read_inferred(spark, path))
+
+
+@query(O.query(with_views("er_run"), "select 'source' || i as name, i < 3 as found, case when i < 3 then (select count(*) from er_run where src = i) else 0 end as n_rows from generate_series(1, 3) s(i)"))
+def tsv_directory(spark, sf_dir):
+    folder, rows = scratch(spark, "sources"), relation(spark, sf_dir, "er_run")
+    for i in (1, 2):
+        tsv.write_records(rows.where(F.col("src") == i), f"{folder}/source{i}.tsv")
+    found, missing = tsv.read_sources(spark, folder)
+    told = [df.agg(F.lit(n).alias("name"), F.lit(True).alias("found"), F.count(F.lit(1)).alias("n_rows")) for n, df in found.items()]
+    told += [spark.range(1).select(F.lit(n).alias("name"), F.lit(False).alias("found"), F.lit(0).cast("long").alias("n_rows")) for n in missing]
+    return reduce(DataFrame.unionByName, told)
+
+
+@query(O.query(with_views("er_run"), f"select distinct {_strip_id} as s1 from er_run where src = 1"))
+def tsv_ids(spark, sf_dir):
+    return tsv.read_ids(spark, _file(spark, sf_dir, "er_run", "src = 1"))
+
+
+@query(O.query(with_views("er_run"), f"select distinct {_strip_id} as id from er_run where src > 1"))
+def tsv_targets(spark, sf_dir):
+    folder, rows = scratch(spark, "targets"), relation(spark, sf_dir, "er_run")
+    for i in (2, 3):
+        tsv.write_records(rows.where(F.col("src") == i), f"{folder}/test_source{i}.tsv")
+    return tsv.read_targets(spark, folder)[0]
+
+
+#: A result file with every fault: lines without tab, blank lines, further tabs, repeated rows.
+_match_lines = """match_lines as (select row_number() over (order by s1, ids) as place, case when s1 like '%7' then s1 || chr(9) || ids || chr(9) || 'x' when s1 like '%13' then s1 when s1 like '%23' then ' ' else s1 || chr(9) || ids end as value from er_sub)"""
+_match_rows = ["match_rows as (select place + 1 as line, string_split(value, chr(9))[1] as s1, substring(value, strpos(value, chr(9)) + 1) as ids from match_lines where value like '%' || chr(9) || '%')"]
+
+
+def _match_file(spark, sf_dir, folder: str) -> str:
+    rows = relation(spark, sf_dir, "er_sub").withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("s1", "ids")).cast("long"))
+    tabbed, ends = F.concat_ws("\t", "s1", "ids"), lambda x: F.col("s1").endswith(x)
+    value = F.when(ends("7"), F.concat(tabbed, F.lit("\tx"))).when(ends("13"), F.col("s1")).when(ends("23"), F.lit(" ")).otherwise(tabbed)
+    head = spark.range(1).select(F.lit(0).cast("long").alias("place"), F.lit("Source1_entity_id\t matched_entity_ids").alias("value"))
+    return _text_file(head.unionByName(rows.select("place", value.alias("value"))).coalesce(1), f"{folder}/matching.tsv")
+
+
+@query(O.query([*with_views("er_sub"), _match_lines, *_match_rows], "select line, s1, ids from match_rows"))
+def tsv_id_lists(spark, sf_dir):
+    return tsv.read_id_lists(spark, _match_file(spark, sf_dir, scratch(spark, "lists")), tsv.MATCH_HEADER)[0]
+
+
+@query(O.query([*with_views("er_sub"), _match_lines], "select place + 1 as line, 'no tab in line ' || cast(place + 1 as varchar) as message from match_lines where value not like '%' || chr(9) || '%' and value <> ' '"))
+def tsv_malformed(spark, sf_dir):
+    return tsv.read_id_lists(spark, _match_file(spark, sf_dir, scratch(spark, "lists")), tsv.MATCH_HEADER)[2]
+
+
+@query(O.query(with_views("er_truth"), "select row_number() over (order by k) as line, source1_entity_id || chr(9) || matched_entity_ids as value from er_truth"))
+def tsv_sink(spark, sf_dir):
+    """The sink without header, written twice over."""
+    path, rows = scratch(spark, "sink"), relation(spark, sf_dir, "er_truth").withColumnRenamed("source1_entity_id", "entity_id")
+    tsv.write_lists(rows.limit(3), path, ids="matched_entity_ids")
+    tsv.write_lists(rows.orderBy("k"), path, header=False, ids="matched_entity_ids")
+    return tsv.read_lists_back(spark, path)
+
+
+@query(O.query(with_views("er_truth"), "select row_number() over (order by k) + 1 as line, source1_entity_id, matched_entity_ids from er_truth"))
+def tsv_truth(spark, sf_dir):
+    path = scratch(spark, "truth")
+    rows = relation(spark, sf_dir, "er_truth").orderBy("k").coalesce(1).withColumnRenamed("source1_entity_id", "entity_id")
+    tsv.write_lists(rows, path, ids="matched_entity_ids")
+    return tsv.read_truth(spark, path)
+
+
+def _whole_run(spark, sf_dir, limit: int = 0):
+    out = scratch(spark, "run")
+    paths = [_file(spark, sf_dir, "er_run", f"src = {i}") for i in (1, 2, 3)]
+    return out, run_blocking(spark, *paths, out, header=False, settings=Settings(max_bucket=100, city_cap=40, limit=limit))
+
+
+_run_lists = [*O.blocking("er_run_named"), O.lists()]
+
+
+@query(O.query(_run_lists, "select row_number() over (order by k, entity_id) as line, entity_id || chr(9) || candidate_entity_ids as value from lists"))
+def run_files(spark, sf_dir):
+    return tsv.read_lists_back(spark, _whole_run(spark, sf_dir)[0])
+
+
+@query(O.query([*_run_lists, "src1 as (select * from er_run where src = 1)"], f"select count(*) as rows, cast(sum(n) as bigint) as candidates, round(avg(n), 9) as mean, max(n) as most, (select count(*) from src1 where {_strip_id} = '') as errors, (select count(*) from others where src = 2) as indexed_s2, (select count(*) from others where src = 3) as indexed_s3, (select count(*) from kept) as keys_kept, (select count(*) from fs) as n_stops, coalesce((select array_to_string(list_sort(list(token))[1:20], ' ') from fs), '') as stops from lists"))
+def run_files_report(spark, sf_dir):
+    r = _whole_run(spark, sf_dir)[1]
+    row = (r.rows, r.candidates, round(r.mean, 9), r.most, r.errors, r.indexed.get("source 2", 0), r.indexed.get("source 3", 0), r.keys["keys_kept"], r.n_stops, " ".join(r.stops))
+    return spark.createDataFrame([row], "rows long, candidates long, mean double, most long, errors long, indexed_s2 long, indexed_s3 long, keys_kept long, n_stops long, stops string")
+
+
+_file_off = {k: v.replace("er_sub", "match_rows").replace("from it ", "from mi ") for k, v in _offenders.items()}
+_cand_off = {k: v.replace("er_sub", "cand_rows").replace("from it ", "from ci ") for k, v in _offenders.items()}
+_union = lambda off, place: " union all ".join(f"select {V.CHECKS.index(k) + place} as place, '{k}' as check_name, offender from ({sql})" for k, sql in off.items())
+
+
+@query(
+    O.query(
+        [
+            *with_views("er_sub", "er_part"),
+            _match_lines,
+            *_match_rows,
+            "cand_rows as (select source1_entity_id as s1, matched_entity_ids as ids from er_truth where k % 11 <> 0)",
+            "mi as (select s1, unnest(string_split(ids, ',')) as id from match_rows where trim(ids, ' ' || chr(9)) <> '')",
+            "ci as (select s1, unnest(string_split(ids, ',')) as id from cand_rows where ids <> '')",
+            "last_rows as (select s1, arg_max(ids, line) as ids from match_rows group by 1)",
+            "li as (select distinct s1, unnest(string_split(ids, ',')) as id from last_rows where trim(ids, ' ' || chr(9)) <> '')",
+            "off as (select 11 as place, 'error' as severity, 'matching' as file, 'malformed_lines' as check_name, cast(place + 1 as varchar) as offender, place as rank from match_lines where value not like '%' || chr(9) || '%' and value <> ' '"
+            f" union all select place, 'error', 'matching', check_name, offender, 0 from ({_union(_file_off, 12)}) union all select place, 'error', 'candidates', check_name, offender, 0 from ({_union(_cand_off, 32)})"
+            " union all select distinct 50, 'warning', 'matching', 'outside_candidates', s1, 0 from li where not exists (select 1 from ci where ci.s1 = li.s1 and ci.id = li.id))",
+            "rk as (select *, row_number() over (partition by place order by rank, offender) as r, count(*) over (partition by place) as n from off)",
+        ],
+        """select cast(place as integer) as place, severity, file, check_name as "check", n, case when n > 5 then cast(n as varchar) || ' total, e.g. ' else '' end || string_agg(offender, ', ' order by r) || case when n > 5 then ', ...' else '' end as examples from rk where r <= 5 group by place, severity, file, check_name, n""",
+    )
+)
+def validate_files(spark, sf_dir):
+    folder, rows = scratch(spark, "validate"), relation(spark, sf_dir, "er_part")
+    tsv.write_lists(relation(spark, sf_dir, "er_truth").where("k % 11 <> 0").withColumnRenamed("source1_entity_id", "entity_id"), f"{folder}/candidates.tsv", ids="matched_entity_ids", name="candidate_entity_ids")
+    for i in (1, 2, 3):
+        tsv.write_records(rows.where(F.col("src") == i), f"{folder}/test_source{i}.tsv")
+    return validate(spark, _match_file(spark, sf_dir, folder), f"{folder}/candidates.tsv", folder)
+
+
+@query(
+    O.query(
+        [*with_views("er_sub"), "ln as (select row_number() over (order by s1, ids) as line, case when s1 like '%9' then 'Z' || s1 else s1 end as s1, ids from er_sub)", "wr as (select line, list_filter(string_split(ids, ','), lambda x: not (x like 'S2-%' or x like 'S3-%'))[1] as w from ln where ids <> '')"],
+        "(select 'prefix' as kind, line, s1 as example from ln where s1 not like 'S1-%' order by line limit 5) union all (select 'candidate', line, w from wr where w is not null order by line limit 5)",
+    )
+)
+def output_examples(spark, sf_dir):
+    rows = relation(spark, sf_dir, "er_sub").withColumn("line", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("s1", "ids")).cast("long"))
+    return V.output_examples(rows.select("line", F.concat_ws("\t", F.concat(F.when(F.col("s1").endswith("9"), "Z").otherwise(""), "s1"), "ids").alias("value")))

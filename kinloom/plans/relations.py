@@ -27,6 +27,14 @@ select 3, p_partkey, 'S3-'||cast(p_partkey as string), split_part(p_name,' ',2)|
   p_type||' Road, '||p_brand||', ,',
   case when p_partkey%7=0 then 'France' when p_partkey%2=0 then 'US' else 'India' end
 from part where p_partkey%3=0""",
+    "er_run": """
+select src, k, entity_id, case when k%61=0 then '"'||business_name||'" & Co' when k%67=0 then ' '||business_name else business_name end as business_name, business_address, country from er_part
+union all
+select src, k+1000000, case when k%100=0 then ' ' else '' end, business_name, business_address, country from er_part where k%50=0 and src<3
+union all
+select src, k+2000000, ' '||entity_id||' ', 'Other '||business_name, business_address, country from er_part where k%40=0 and src=1""",
+    "er_run_named": """
+select src, k, trim(entity_id) as entity_id, business_name, business_address, country from er_run where trim(entity_id) <> ''""",
     "er_doc": """
 select cast(doc_id%3 + 1 as int) as src, doc_id as k,
   'S'||cast(doc_id%3 + 1 as string)||'-'||cast(doc_id as string) as entity_id,
@@ -77,7 +85,7 @@ select source1_entity_id, matched_entity_ids from er_truth where k%50=4
 union all
 select 'S1-extra'||cast(k as string), '' from er_truth where k%500=1""",
 }
-NEEDS = {"er_part": ("part",), "er_doc": ("documents",), "er_lit": (), "er_all": ("er_part", "er_doc", "er_lit"), "er_truth": ("part",), "er_pred": ("er_truth",), "er_sub": ("er_truth",)}
+NEEDS = {"er_part": ("part",), "er_run": ("er_part",), "er_run_named": ("er_run",), "er_doc": ("documents",), "er_lit": (), "er_all": ("er_part", "er_doc", "er_lit"), "er_truth": ("part",), "er_pred": ("er_truth",), "er_sub": ("er_truth",)}
 
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -66,6 +66,11 @@ def offenders(rows: DataFrame, required: DataFrame, valid: DataFrame | None = No
     return reduce(DataFrame.unionByName, (df.select(F.lit(CHECKS.index(k)).alias("ord"), F.lit(k).alias("check"), "offender") for k, df in found.items()))
 
 
+def _head(n: str, shown: str):
+    """Five examples, with the total where there are more."""
+    return F.when(F.col(n) > 5, F.concat(F.col(n).cast("string"), F.lit(" total, e.g. "), F.col(shown), F.lit(", ..."))).otherwise(F.col(shown))
+
+
 def findings(rows: DataFrame, required: DataFrame, valid: DataFrame | None = None) -> DataFrame:
     """``ord, check, n, examples``: broken rules alone. Five examples by rank, so no
     list of all offenders is ever built."""
@@ -73,9 +78,14 @@ def findings(rows: DataFrame, required: DataFrame, valid: DataFrame | None = Non
     totals = found.groupBy("ord", "check").agg(F.count(F.lit(1)).alias("n"))
     first = found.withColumn("r", F.row_number().over(Window.partitionBy("ord").orderBy("offender"))).where("r <= 5")
     shown = first.groupBy("ord").agg(F.concat_ws(", ", F.sort_array(F.collect_list("offender"))).alias("head"))
-    return totals.join(shown, "ord").select(
-        "ord", "check", "n", F.when(F.col("n") > 5, F.concat(F.col("n").cast("string"), F.lit(" total, e.g. "), F.col("head"), F.lit(", ..."))).otherwise(F.col("head")).alias("examples")
-    )
+    return totals.join(shown, "ord").select("ord", "check", "n", _head("n", "head").alias("examples"))
+
+
+def shown(found: DataFrame, place: int, severity: str, file: str, check: str) -> DataFrame:
+    """One finding on distinct ``offender``s with examples by rank; no row where there are none."""
+    total = found.agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    first = found.orderBy("offender").limit(5).agg(F.concat_ws(", ", F.transform(F.sort_array(F.collect_list("offender")), lambda x: F.trim(x))).alias("head"))
+    return total.join(first, F.lit(True)).select(F.lit(place).alias("place"), F.lit(severity).alias("severity"), F.lit(file).alias("file"), F.lit(check).alias("check"), "n", _head("n", "head").alias("examples"))
 
 
 def file_summary(rows: DataFrame) -> DataFrame:
@@ -123,3 +133,13 @@ def output_check(lines: DataFrame) -> DataFrame:
         F.count_if(~two).alias("bad_col"),
         F.count_if(two & ~F.col("s1").startswith("S1-")).alias("bad_prefix"),
     )
+
+
+def output_examples(lines: DataFrame, most: int = 5) -> DataFrame:
+    """``kind, line, example`` by line: the first wrong ids, and the first wrong candidate of the first such rows."""
+    parts = F.split("value", "\t")
+    rows = lines.select("line", F.size(parts).alias("n"), F.get(parts, F.lit(0)).alias("s1"), F.get(parts, F.lit(1)).alias("ids")).where("n = 2")
+    ids = F.when(F.col("ids") == "", F.array().cast("array<string>")).otherwise(F.split("ids", ","))
+    wrong = F.get(F.filter(ids, lambda x: ~(x.startswith("S2-") | x.startswith("S3-"))), F.lit(0))
+    first = lambda df, kind, value: df.orderBy("line").limit(most).select(F.lit(kind).alias("kind"), "line", value.alias("example"))
+    return first(rows.where(~F.col("s1").startswith("S1-")), "prefix", F.col("s1")).unionByName(first(rows.withColumn("w", wrong).where("w is not null"), "candidate", F.col("w")))

@@ -153,3 +153,34 @@ def test_streaming_probe(spark, tmp_path, sf):
     q = probe_stream(stream, live, stops).writeStream.format("memory").queryName("probed").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("probed").select("entity_id", "cand").distinct().count() == B.candidate_pairs(reference, live, stops).count()
+
+
+def test_commands(spark, tmp_path, capsys):
+    from kinloom.__main__ import main
+
+    head = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
+    (tmp_path / "test_source1.tsv").write_text(head + "S1-1\tAcme Tools\t5 A St, X\tUS\n \tnobody\t\tUS\nS1-2\tZed\t\tFR\nS1-1\tAcme\t\tUS\n")
+    (tmp_path / "test_source2.tsv").write_text(head + 'S2-9\t"Acme ""Q"" Tools"\t\tus\nS2-10\tOther\t5 B St\tUS\n')
+    (tmp_path / "test_source3.tsv").write_text(head + "S3-1\tAcme Ltd\t\tUS\nX9\tAcme\t\tUS\n")
+    sources = [x for i in (1, 2, 3) for x in (f"--s{i}", str(tmp_path / f"test_source{i}.tsv"))]
+    assert main(["block", *sources, "--out", str(tmp_path / "out")]) == 0
+    said = capsys.readouterr().out
+    assert "rows written: 3, without id: 1" in said and "records indexed from source 2: 2" in said
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*")))
+    assert [x for x in text.split("\n") if x and not x.startswith("source1")] == ["S1-1\tS2-10,S2-9,S3-1", "S1-2\t", "S1-1\tS2-9,S3-1"]
+    assert main(["block", *sources, "--out", str(tmp_path / "bare"), "--no-header", "--s1-limit", "1"]) == 0
+    assert "".join(p.read_text() for p in (tmp_path / "bare").glob("part-*")) == "S1-1\tS2-10,S2-9,S3-1\n"
+    (tmp_path / "test_source1.tsv").write_text(head + "S1-1\tAcme\n\nS1-2\tZed\n")
+    (tmp_path / "m.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-9\nS1-2\t\n")
+    (tmp_path / "c.tsv").write_text("source1_entity_id\tcandidate_entity_ids\nS1-1\tS3-1\nS1-2\t\n")
+    assert main(["validate", "-m", str(tmp_path / "m.tsv"), "-c", str(tmp_path / "c.tsv"), "-t", str(tmp_path)]) == 0
+    said = capsys.readouterr().out
+    assert "WARNING matching outside_candidates: 1 (S1-1)" in said and "passed" in said
+    (tmp_path / "m.tsv").write_bytes(b"source1_entity_id\tmatched_entity_ids\nS1-1\tS2-404\nno tab\nS1-2\t\xff\n")
+    assert main(["validate", "-m", str(tmp_path / "m.tsv"), "-t", str(tmp_path)]) == 1
+    said = capsys.readouterr().out
+    assert all(x in said for x in ("not_utf8: 1", "malformed_lines: 1 (3)", "unknown_ids: 1 (S2-404)", "no_candidates", "failed"))
+    assert main(["validate", "-m", str(tmp_path / "m.tsv"), "-t", str(tmp_path / "nowhere"), "--no-check-ids"]) == 1
+    assert main(["check", str(tmp_path / "bare")]) == 0
+    assert main(["check", str(tmp_path / "m.tsv")]) == 0
+    assert "prefix source1_entity_id" in capsys.readouterr().out
