@@ -1,5 +1,5 @@
 """Operators for large-scale training-data preparation.
 
-Nothing outside this subpackage imports it; it uses nothing of the record
-engine either, so that either part can be installed alone.
+Nothing outside this subpackage imports it. It uses nothing of the record engine but where
+intermediate tables are kept (``kinloom.storage``).
 """
