@@ -363,7 +363,7 @@ def test_machine_equals_explicit_pairs():
 def test_archives_equal_brute_force(spark, sf):
     pages = common.table(spark, sf, "pages")
     rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
-    odd = [(1, None, None), (2, "http://a b/\n", "x" * 100), (3, "u", "x" * 100), (3, "u", "x" * 100), (4, "u", "x" * 99), (5, "u", "x" * 99), (None, "u", "y"), (6, "u", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n" * 9), (7, "u", "é" * 50), (8, "u", "z" * 300_000)]
+    odd = [(1, None, None), (2, "http://a b/\n", "x" * 100), (3, "u", "x" * 100), (3, "u", "x" * 100), (4, "u", "x" * 99), (5, "u", "x" * 99), (None, "u", "y"), (6, "u", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n" * 9), (7, "u", "é" * 50), (8, "u", "z" * 300_000), (None, "u", "x" * 100), (9, "u", "q" * 200), (9, "u", "x" * 100)]
     for given in (rows, odd):
         df = spark.createDataFrame(given, "page_id long, url string, html string").withColumn("digest", F.lit(1))
         got = Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in arc_convert.round_trip(df).collect())
@@ -371,7 +371,7 @@ def test_archives_equal_brute_force(spark, sf):
         for i, _, html in sorted(given, key=lambda r: (r[0] is None, r[0] or 0)):
             data = (html or "").encode()
             digest = hashlib.sha256(data).hexdigest()
-            o = first.setdefault(digest, i) if len(data) >= 100 else i
+            o = first.setdefault(digest, i) if len(data) >= 100 and i is not None else i
             want[(i, len(data), digest, "response" if o == i else "revisit", None if o == i else o)] += 1
         assert got == want
     assert arc_convert.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
@@ -382,21 +382,39 @@ def test_arc_files(spark, tmp_path, version):
     import gzip
     import io
 
-    records = [{"url": "http://x/ y", "date": "20010203040506", "content": b"HTTP/1.0 200 OK\r\nA: b\r\n\r\nbody\n\n\x00\xff"}, {"url": None, "date": None, "content": b""}, {"url": "dns:x", "mime": "text/dns", "content": b"no head"}]
+    page = b"HTTP/1.0 200 OK\r\nA: b\r\n\r\n" + b"body\n\n\x00\xff" * 30
+    records = [{"url": "http://x/ y", "date": "20010203040506", "content": page}, {"url": None, "date": None, "content": b""}, {"url": "dns:x", "mime": "text/dns", "date": "20020101000000", "content": b"no head"}, {"url": "http://z/", "date": "20030101000000", "content": page}]
     data = arc_convert.arc_file(records, version)
-    back = list(arc_convert.read_arc(data))
-    assert [r["content"] for r in back] == [r["content"] for r in records] and {r["version"] for r in back} == {version}
-    assert list(arc_convert.read_arc(gzip.compress(data))) == back
-    (tmp_path / "a.arc").write_bytes(data)
-    made = [bytes(r.record) for r in arc_convert.convert_arc_files(spark, str(tmp_path)).collect()]
-    parsed = list(arc_convert.read_warc(io.BytesIO(b"\r\n\r\n".join(made) + b"\r\n\r\n")))
-    fields, block = parsed[0]
-    assert fields["warc-date"] == "2001-02-03T04:05:06Z" and fields["warc-target-uri"] == "http://x/%20y" and block == records[0]["content"]
-    assert fields["warc-payload-digest"] == "sha256:" + hashlib.sha256(b"body\n\n\x00\xff").hexdigest()
-    assert len({f["warc-record-id"] for f, _ in parsed}) == 3 and parsed[2][0]["content-type"] == "text/dns"
-    for bad in (data[:-3], data.replace(b"http://x/%20y", b"http://x/ y"), b"junk line 5\n12345"):
-        with pytest.raises(ValueError):
-            list(arc_convert.read_arc(bad))
+    assert data.split(b"\n")[2].startswith(b"URL IP-address Archive-date Content-type ") and data.split(b"\n")[2].endswith(b"Archive-length")
+    block, *back = arc_convert.read_arc(data)
+    assert block["mime"] == "filedesc" and [r["content"] for r in back] == [r["content"] for r in records] and {r["version"] for r in back} == {version}
+    assert list(arc_convert.read_arc(gzip.compress(data)))[1:] == back
+    assert list(arc_convert.read_arc(b"")) == []
+    # A URL with a space, as real files have it, is a URL; junk is set aside, and reading goes on.
+    spaced = data.replace(b"http://x/%20y", b"http://x/ y")
+    assert [r["url"] for r in list(arc_convert.read_arc(spaced))[1:]] == ["http://x/ y", "-", "dns:x", "http://z/"]
+    cut = data.index(b"dns:x")
+    found = list(arc_convert.read_arc(data[:cut] + b"junk of no use 5x\nmore\n" + data[cut:]))
+    assert [r.get("url", "!") for r in found[1:]] == ["http://x/%20y", "-", "!", "dns:x", "http://z/"] and found[3]["at"] == cut
+    assert "past the end" in list(arc_convert.read_arc(data[:-9]))[-1]["error"]
+    assert [r["error"][:10] for r in arc_convert.read_arc(b"junk line 5\n12345")] == ["no version"]
+    folder = tmp_path / "arcs"
+    folder.mkdir()
+    (folder / "a.arc").write_bytes(data)
+    (folder / "b.arc.gz").write_bytes(gzip.compress(data[:-9]))
+    (folder / "c.arc").write_bytes(b"")
+    (folder / "d.arc").write_bytes(b"no archive")
+    for broadcast in (200_000, 0):
+        made, quarantine = arc_convert.convert_arc_files(spark, str(folder), broadcast)
+        rows = sorted(made.collect(), key=lambda r: (r["file"], r["at"]))
+        parsed = list(arc_convert.read_warc(io.BytesIO(b"\r\n\r\n".join(bytes(r.record) for r in rows) + b"\r\n\r\n")))
+        assert [f["warc-type"] for f, _ in parsed] == ["warcinfo", "response", "resource", "resource", "revisit", "warcinfo", "revisit", "resource", "resource"]
+        fields, body = parsed[1]
+        assert fields["warc-date"] == "2001-02-03T04:05:06Z" and fields["warc-target-uri"] == "http://x/%20y" and body == page
+        assert fields["warc-payload-digest"] == "sha256:" + hashlib.sha256(b"body\n\n\x00\xff" * 30).hexdigest()
+        assert len({f["warc-record-id"] for f, _ in parsed}) == len(parsed) and parsed[3][0]["content-type"] == "text/dns"
+        assert all(parsed[i][0]["warc-refers-to"] == fields["warc-record-id"] and parsed[i][0]["warc-refers-to-date"] == fields["warc-date"] for i in (4, 6))
+        assert sorted((r.file.rsplit("/", 1)[-1], r.error[:8]) for r in quarantine.collect()) == [("b.arc.gz", "declares"), ("d.arc", "no versi")]
 
 
 # 3: quotations
