@@ -528,7 +528,8 @@ def test_licenses(spark, odd, none):
         (2, "Licensed under the Apache License, Version 3.0.", []),
         (3, "x. This work is licensed under the GNU General Public License, version 2. y", ["GPL-2.0"]),
         (4, "Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
-        (5, "Licensed under CC BY-NC-SA 4.0.", []),
+        (5, "Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+        (11, "Licensed under CC BY-NC-SA 2.0.", []),
         (6, f"intro\n\n{mit}\n\noutro", ["MIT"]),
         (7, "He was granted permission to redistribute the bread, with a warranty.", []),
         (8, "Released under the MIT License. " + "filler words go on " * 3000 + "Released under the MIT License.", ["MIT", "MIT"]),
@@ -543,6 +544,69 @@ def test_licenses(spark, odd, none):
     assert license_scan.scan_licenses(none).count() == 0 and license_scan.scan_licenses(odd).count() == 0
 
 
+def test_ordinary_notices(spark):
+    notices = {
+        "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "/* SPDX-License-Identifier: GPL-2.0-only */": "GPL-2.0",
+        "Released under the ISC License.": "ISC", "This file is licensed under the Mozilla Public License 2.0.": "MPL-2.0",
+        "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0", "Licensed under the EUPL, Version 1.2": "EUPL-1.2", "Released under the MIT Licence.": "MIT",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.": "LGPL-2.1",
+    }
+    rows = [(i, f"Some text before.\n\n{x}\n\nAnd after.") for i, x in enumerate(notices)]
+    rows.append((50, f"All in one line: {next(reversed(notices))} Also {license_scan.TEMPLATES['MIT'][2]} Fine."))
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id", "start").collect()
+    assert [(r.doc_id, r.license) for r in found] == [*enumerate(notices.values()), (50, "LGPL-2.1"), (50, "MIT")]
+    assert len(license_scan.TEMPLATES) >= 40
+    for texts in license_scan.TEMPLATES.values():
+        assert all(any(c in t.lower() for c in license_scan.CUES) for t in texts)
+
+
+def test_whole_texts_are_one_finding(spark):
+    bsd = next(t for t in license_scan.TEMPLATES["BSD-3-Clause"] if len(t) > 800)
+    at = [bsd.index(x) for x in ("Redistributions of", "Redistributions in", "Neither", "THIS SOFTWARE")]
+    parts = [bsd[: at[0]], "1. " + bsd[at[0] : at[1]], "2. " + bsd[at[1] : at[2]], "3. " + bsd[at[2] : at[3]], bsd[at[3] :]]
+    mit = license_scan.TEMPLATES["MIT"][4]
+    cuts = [mit.index("The above copyright"), mit.index("THE SOFTWARE IS")]
+    texts = ["BSD 3-Clause License\n\nCopyright (c) 2020, Someone\n\n" + "\n\n".join(parts), "MIT License\n\nCopyright (c) 1999 Me\n\n" + "\n\n".join((mit[: cuts[0]], mit[cuts[0] : cuts[1]], mit[cuts[1] :]))]
+    filler = "word " * 4000
+    df = spark.createDataFrame([(i, f"{filler}\n\n{t}\n\n{filler}") for i, t in enumerate(texts)], "doc_id long, text string")
+    found = license_scan.scan_licenses(df).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.license, r.exact) for r in found] == [(0, "BSD-3-Clause", True), (1, "MIT", True)]
+    assert all(r.end - r.start > 800 for r in found)
+
+
+def test_license_findings_equal_brute_force(texts):
+    """Every template on every block, without the choice by rare words; spans and differences from the words."""
+    import difflib
+    import random
+
+    t = license_scan.Templates()
+    draw = random.Random(3)
+    some = [x for texts in license_scan.TEMPLATES.values() for x in draw.sample(texts, min(2, len(texts)))]
+    given = [x for _, x in texts if "icense" in x][:10]
+    for x in draw.sample(some, 40):
+        words = x.split()
+        words[draw.randrange(len(words))] = "changed"
+        given += [x, " ".join(["before.", *words, "after."]), f"{x}\n{draw.choice(some)}"]
+    for text in given:
+        for a, b in license_scan.blocks(text):
+            block = text[a:b]
+            have = license_scan.normal_words(block)
+            want = []
+            for saved, reduction, i in t.ranked(block):
+                words = t.all[i][2]
+                pairs = [(m.a + k, m.b + k) for m in difflib.SequenceMatcher(None, words, [w for w, _, _ in have], autojunk=False).get_matching_blocks() for k in range(m.size)]
+                if saved <= 0 or len(pairs) < 0.9 * len(words) or pairs[-1][1] + 1 - pairs[0][1] > 1.3 * len(words) + 2:
+                    continue
+                missing = [w for k, w in enumerate(words) if k not in {p for p, _ in pairs}]
+                extra = [have[k][0] for k in range(pairs[0][1], pairs[-1][1]) if k not in {q for _, q in pairs}]
+                if any(w in license_scan._DECISIVE or any(c.isdigit() for c in w) for w in missing + extra):
+                    continue
+                low, high = have[pairs[0][1]][1], have[pairs[-1][1]][2]
+                if all(high <= x[3] or low >= x[4] for x in want):
+                    want.append((t.all[i][0], saved, reduction, low, high, " ".join(missing), " ".join(extra)))
+            assert t.match(block) == want
+
+
 def test_license_lines_of_the_corpus(spark, sf, texts):
     got = {r.doc_id for r in queries()["op10_license_scan"](spark, sf).collect()}
     assert got == {i for i, t in texts if any(x in t for x in ("Licensed under CC BY-NC 4.0.", "Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."))}
