@@ -8,13 +8,14 @@ statistic and of the length on record. The score is
 
 so all pairs interact through ``FACTORS`` numbers per feature, in linear time.
 
-Fitting takes the first ``max_train`` labelled rows by a hash of the id; only their
-features reach the driver. Every document is scored where it lies: nothing
-moves, and the model has a fixed size.
+Fitting takes the first ``max_train`` labelled ids by a hash of the id, one text each, as long as
+they have ``max_values`` features together; only these features (4 bytes each) reach the driver.
+Every document is scored where it lies: nothing moves, and the model has a fixed size.
 
 Defined cases: a null or empty text has structure features only and gets a score
 like others; a null id is in fold 0 (held out); rows with equal ids are scored one by
-one; null labels and labels without a document are not learned; without labels
+one, and the least of their texts is learned; an empty table gives no rows; texts may have any length; extra columns are
+ignored, whatever their names; null labels and labels without a document are not learned; without labels
 every score is 0.5. Language, source and id are no features.
 """
 
@@ -25,7 +26,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinloom.llm.common import fold, ship
@@ -95,10 +96,8 @@ class Features:
         own = set(parts)
         hashed = sorted(set(map(self.slots.__getitem__, own)))
         bins = [(1 << BITS) + BINS * i + b for i, b in enumerate(statistics(data, parts, len(own), on_record))]
-        values = np.ones(len(hashed) + len(bins))
-        if hashed:
-            values[: len(hashed)] = 1 / math.sqrt(len(hashed))
-        return np.array(hashed + bins, np.int64), values
+        at = np.array(hashed + bins, np.int64)
+        return at, values_of(at)
 
 
 class Machine:
@@ -148,27 +147,32 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text"), on_record.alias("n_chars"))
 
 
+def values_of(at: np.ndarray) -> np.ndarray:
+    """Feature values by the feature numbers: words share a length of 1."""
+    word = at < 1 << BITS
+    return np.where(word, 1 / math.sqrt(max(1, int(word.sum()))), 1.0)
+
+
 def _featured(batches):
     make = Features()
     for batch in batches:
-        rows = [make(t, n) for t, n in zip(batch.column("text").to_pylist(), batch.column("n_chars").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()), batch.column("draw"), pa.array([a for a, _ in rows], pa.list_(pa.int64())), pa.array([x for _, x in rows], pa.list_(pa.float64()))], ["label", "draw", "at", "x"])
-
+        rows = [make(t, n)[0].astype(np.int32) for t, n in zip(batch.column("text").to_pylist(), batch.column("n_chars").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()), batch.column("draw"), batch.column("doc_id").cast(pa.int64()), pa.array(rows, pa.list_(pa.int32())), pa.array([len(r) for r in rows], pa.int64())], ["label", "draw", "doc_id", "at", "n"])
 
-def fit_machine(docs: DataFrame, labels: DataFrame, *, folds: int = 5, max_train: int = 6000) -> Machine:
-    """The machine fitted to labelled rows outside fold 0.
 
-    At most ``max_train`` labels, the first by a hash of the id, are learned: the
-    ids broadcast and the features collected are bounded by it.
-    """
+def fit_machine(docs: DataFrame, labels: DataFrame, *, folds: int = 5, max_train: int = 6000, max_values: int = 20_000_000) -> Machine:
+    """The machine fitted to labelled rows outside fold 0."""
     ship(docs.sparkSession)
     usable = labels.where("doc_id is not null and quality in (0, 1)").where(fold(F.col("doc_id"), folds) != 0)
     one = usable.groupBy("doc_id").agg(F.max("quality").alias("label"))
     chosen = one.withColumn("draw", F.xxhash64("doc_id")).orderBy("draw", "doc_id").limit(max_train)
-    rows = _columns(docs).join(F.broadcast(chosen), "doc_id").mapInArrow(_featured, "label int, draw long, at array<long>, x array<double>")
-    found = sorted(rows.toArrow().to_pylist(), key=lambda r: (r["draw"], r["at"], r["label"]))
+    least = _columns(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "draw").agg(F.min(F.struct("text", "n_chars")).alias("t"))
+    rows = least.select("doc_id", "label", "draw", "t.text", "t.n_chars").mapInArrow(_featured, "label int, draw long, doc_id long, at array<int>, n long")
+    so_far = Window.partitionBy(F.lit(0)).orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # max_train rows at most
+    found = rows.withColumn("_sum", F.sum("n").over(so_far)).where(F.col("_sum") <= max_values).select("draw", "doc_id", "label", "at").toArrow().sort_by([("draw", "ascending"), ("doc_id", "ascending")])
     machine = Machine()
-    machine.fit([(np.array(r["at"], np.int64), np.array(r["x"])) for r in found], np.array([r["label"] for r in found], float))
+    at = [np.asarray(x.values, np.int64) for x in found["at"]]
+    machine.fit([(x, values_of(x)) for x in at], found["label"].to_numpy().astype(float))
     return machine
 
 

@@ -11,8 +11,9 @@ All is done by built-in expressions within a row. Tables of ``2 ** bits`` number
 are all that leaves a task when counting; scoring moves nothing.
 
 Defined cases: a null or blank text has no words, all counts 0, score 0 and
-fails the base rules; rows with equal ids are judged one by one; without
-trusted documents every ratio is 0; a null label is not trusted.
+fails the base rules; rows with equal ids are judged one by one; a null id is never trusted;
+without trusted documents, and for an empty table, every ratio is 0; a null label is not trusted;
+texts of any length are counted whole; columns whose names clash with the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import SPACE, bind, words_of
+from kinloom.llm.common import SPACE, bind, settle, words_of
 
 SCALE = 1 << 20
 BITS = 16
@@ -69,20 +70,19 @@ def _repeats(hashes: Column, width: int) -> Column:
     return F.when(n < 2, F.lit(0).cast("long")).otherwise(found)
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int) -> DataFrame:
-    """At most ``max_trusted`` ids labelled good, the first by a hash of the id."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    return labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_good")).distinct()
 
 
-def fit_ratio(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, pseudo: float = PSEUDO, max_trusted: int = 200_000) -> list[int]:
+def fit_ratio(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, pseudo: float = PSEUDO, most_broadcast: int = 2_000_000) -> list[int]:
     """Scaled log ratios by bucket.
 
-    The raw side counts all documents. The trusted side counts the labelled good
-    ones, ``max_trusted`` at most: their ids (8 bytes each) are the only thing
-    broadcast, so no text moves.
+    The raw side counts all documents, the trusted side all that are labelled good. Their ids
+    are counted: up to ``most_broadcast`` (8 bytes each) are broadcast, so no text moves,
+    more are joined by a shuffle.
     """
-    good = F.broadcast(trusted_ids(labels, max_trusted).withColumnRenamed("doc_id", "_good"))
+    good = settle(trusted_ids(labels), "trusted")
+    good = F.broadcast(good) if good.count() <= most_broadcast else good
     counts = (
         docs.select("doc_id", "text")
         .join(good, F.col("doc_id") == F.col("_good"), "left")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinloom.llm import apportion, arc_convert, chat_quotes, decontaminate, interpolated_lm, jaccard_join, license_scan, quality_fm, quality_ratio, secret_ledger
-from kinloom.llm.common import table
+from kinloom.llm.common import fold, scratch, table
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,8 +34,10 @@ def op5_archive_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secret_ledger.scan_secrets(table(spark, sf_dir, "documents"))
-    return found
+    """Two runs over one stored ledger: a hundredth of the ids comes with the second, which scans that alone."""
+    docs, path = table(spark, sf_dir, "documents"), scratch(spark, "ledger")
+    secret_ledger.run_ledger(docs.where(fold(F.col("doc_id"), 100) != 0), path)
+    return secret_ledger.findings_by_row(docs, secret_ledger.run_ledger(docs, path))
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,6 +114,40 @@ def test_ledger_scans_only_what_is_new(spark, odd):
     assert found[99] == (1, 0) and found[12] == (2, 1)
 
 
+def test_a_stored_ledger_grows_by_what_is_new(spark, odd, none, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    assert secret_ledger.stored_ledger(spark, path) is None
+    half = odd.where("doc_id < 7")
+    first = secret_ledger.run_ledger(half, path).count()
+    assert first == len({t or "" for i, t in ODD if i < 7}) * len(secret_ledger.RULES)
+    after = secret_ledger.run_ledger(odd, path)
+    assert after.count() == len({t or "" for _, t in ODD}) * len(secret_ledger.RULES) == after.distinct().count()
+    assert secret_ledger.run_ledger(twice(odd), path).count() == after.count() == secret_ledger.run_ledger(none, path).count()
+    got = by_id(secret_ledger.findings_by_row(odd, after), "n_assign", "n_access", "n_hex", "base_sha256")
+    assert got == {i: brute.secrets(t)[:4] for i, t in ODD}
+    assert secret_ledger.run_ledger(none, f"file://{tmp_path}/none").count() == 0
+
+
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_findings_do_not_depend_on_the_join(odd, monkeypatch, few):
+    monkeypatch.setattr(secret_ledger, "FEW", few)
+    monkeypatch.setattr(secret_ledger, "MOST_BYTES", few)
+    assert by_id(secret_ledger.scan_secrets(odd)[0], "n_assign", "n_access", "n_hex", "base_sha256") == {i: brute.secrets(t)[:4] for i, t in ODD}
+    clash = odd.withColumnRenamed("size", "_blob").withColumnRenamed("score", "_spans")
+    assert secret_ledger.mask_secrets(clash).columns == clash.columns
+
+
+def test_private_keys_are_whole():
+    blocks = [
+        "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\nabc+/=\n-----END RSA PRIVATE KEY-----",
+        "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 1\n\nabc\n=Zz\n-----END PGP PRIVATE KEY BLOCK-----",
+        "-----BEGIN PRIVATE KEY-----",
+    ]
+    text = "x\n" + "\nbetween\n".join(blocks)
+    assert [text[a:b] for a, b in secret_ledger.spans(text, secret_ledger.RULES, "private")] == blocks
+    assert len(secret_ledger.spans(blocks[2] * 20_000, secret_ledger.RULES, "private")) == 20_000
+
+
 def test_masking(odd):
     rows = {r.doc_id: r for r in secret_ledger.mask_secrets(odd).collect()}
     assert rows[12].text == "[assign] [assign]' token=abc [access] [hex]" and rows[12].n_chars == len(rows[12].text)
@@ -179,6 +213,41 @@ def test_mix(spark, sf, texts, odd, none):
     assert [(r.size, r.target, r.taken) for r in blank] == [(0, 0.0, 0)] * 3
 
 
+def test_mix_block_by_block(texts, docs):
+    """Every block of every shard laid out and drawn one by one."""
+    draw = lambda *x: hashlib.md5("|".join(["mix", *map(str, x)]).encode()).hexdigest()
+    per_shard, size = 40, 16
+    rows = [(r.doc_id, r.source, len(brute.words(r.text))) for r in docs.collect()]
+    by = {}
+    for r in rows:
+        by.setdefault(r[1], []).append(r)
+    sizes = {s: sum(r[2] for r in v) for s, v in by.items()}
+    key = lambda s: "null" if s is None else f"={s}"
+    target = brute.targets(sizes)
+    blocks = brute.sainte_lague({key(s): t for s, t in target.items()}, round(sum(sizes.values()) / size))
+    want = {}
+    for s, own in by.items():
+        shards = {}
+        n = -(-len(own) // per_shard)
+        for r in own:
+            shards.setdefault(int(draw(r[0])[:12], 16) % n, []).append(r)
+        quota = brute.sainte_lague({k: float(sum(r[2] for r in v)) for k, v in shards.items()}, blocks[key(s)])
+        for k, members in shards.items():
+            members.sort(key=lambda r: (draw(r[0]), r[0], r[2]))
+            holders = [r[0] for r in members for _ in range(r[2])]
+            nb = -(-len(holders) // size)
+            if not nb:
+                continue
+            times, more = divmod(min(quota[k], 3 * nb), nb)
+            start = int(draw(key(s), k)[:12], 16) % nb
+            for b in range(nb):
+                picked = times + ((b + 1) * more + start) // nb - (b * more + start) // nb
+                for h in holders[b * size : (b + 1) * size]:
+                    want[h] = want.get(h, 0) + picked
+    got = by_id(apportion.mix_sources(docs, docs_per_shard=per_shard), "taken")
+    assert {i: t for i, (t,) in got.items()} == {r[0]: want.get(r[0], 0) for r in rows}
+
+
 @pytest.mark.parametrize(("votes", "seats"), [([53.0, 24.0, 23.0], 10), ([1.0] * 7, 3), ([0.0, 5.0, 5.0], 9), ([1000.0, *[0.49] * 40], 30), ([10.0, 20.0], 0), ([0.0, 0.0], 5)])
 def test_sainte_lague(spark, votes, seats):
     df = spark.createDataFrame([(k, v, seats) for k, v in enumerate(votes)], "id long, votes double, seats long")
@@ -357,6 +426,64 @@ def test_machine_equals_explicit_pairs():
     assert math.isclose(m.raw(at, x), m.w[at] @ x + pairs, rel_tol=1e-9)
 
 
+def test_fit_equals_a_plain_one():
+    """The fit in loops over rows, features and factors."""
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    rows = []
+    for _ in range(20):
+        at = np.sort(draw.choice(40, 6, replace=False)).astype(np.int64)
+        rows.append((at, np.where(at % 3 == 0, 1.0, 0.5)))
+    labels = draw.integers(0, 2, 20).astype(float)
+    m = quality_fm.Machine()
+    m.fit(rows, labels, epochs=3, batch=4)
+    start = quality_fm.Machine()
+    w0, w, v = 0.0, {}, {int(i): start.v[i].copy() for a, _ in rows for i in a}
+    g0, gw, gv = 1e-6, {}, {i: np.full(quality_fm.FACTORS, 1e-6) for i in v}
+    order = np.random.default_rng(7)
+    for _ in range(3):
+        for own in np.array_split(order.permutation(20), 5):
+            d0, dw, dv = 0.0, {}, {}
+            for r in own:
+                at, x = rows[r]
+                raw = w0 + sum(w.get(int(i), 0.0) * a for i, a in zip(at, x))
+                raw += sum(float(v[int(at[i])] @ v[int(at[j])]) * x[i] * x[j] for i in range(len(at)) for j in range(i))
+                err = (1 / (1 + math.exp(-raw)) - labels[r]) / len(own)
+                d0 += err
+                for i, a in zip(map(int, at), x):
+                    dw[i] = dw.get(i, 0.0) + err * a
+                    others = sum(v[int(j)] * b for j, b in zip(at, x) if j != i)
+                    dv[i] = dv.get(i, 0.0) + err * a * others
+            g0 += d0 * d0
+            w0 -= 0.1 * d0 / math.sqrt(g0)
+            for i in dw:
+                g = dw[i] + 1e-4 * w.get(i, 0.0) / 20 * len(own)
+                gw[i] = gw.get(i, 1e-6) + g * g
+                w[i] = w.get(i, 0.0) - 0.1 * g / math.sqrt(gw[i])
+                h = dv[i] + 1e-4 * v[i]
+                gv[i] = gv[i] + h * h
+                v[i] = v[i] - 0.1 * h / np.sqrt(gv[i])
+    assert math.isclose(m.w0, w0, rel_tol=1e-9)
+    assert all(math.isclose(m.w[i], w[i], rel_tol=1e-7, abs_tol=1e-12) and np.allclose(m.v[i], v[i], rtol=1e-7) for i in w)
+
+
+def test_fit_is_bounded(spark):
+    rows = [(i, f"words of text {i} " * 5) for i in range(200)] + [(5, f"copy {j}") for j in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    seen = []
+    fit, quality_fm.Machine.fit = quality_fm.Machine.fit, lambda self, r, y: seen.append((len(r), sum(len(a) for a, _ in r), len(y)))
+    try:
+        quality_fm.fit_machine(docs, labels)
+        quality_fm.fit_machine(docs, labels, max_train=30)
+        quality_fm.fit_machine(docs, labels, max_values=300)
+    finally:
+        quality_fm.Machine.fit = fit
+    held = sum(brute.crc(i, 5) != 0 for i in range(200))
+    assert [n for n, _, _ in seen][:2] == [held, 30] and seen[2][1] <= 300 and all(n == y for n, _, y in seen)
+
+
 # 5: archives
 
 
