@@ -15,7 +15,7 @@ _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.ui
 class WordHashes(dict):
     """64-bit hashes by word; the memory is bounded by emptying it when full."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         self.most = most
 
     def __missing__(self, word: bytes) -> int:

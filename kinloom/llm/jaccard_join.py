@@ -16,6 +16,9 @@ class, and classes are joined:
 * a pair is taken at its first shared n-gram, told by the few shared ones before
   it, made distinct, and verified once on the full sets.
 
+``jaccard_groups`` counts links, so it makes every pair that links. ``without_near_copies`` only
+needs groups: it links by pivots first, and then makes only pairs across the groups found.
+
 No cap anywhere: only n-grams that a single class has in its prefix are dropped.
 
 Defined cases: a text without words, or null, has no set and links with nothing
@@ -40,9 +43,8 @@ from kinloom.llm.common import row_key, settle, ship, without_rows
 from kinloom.llm.graph import components
 
 SKETCH_LONGS = 8
-#: Sets larger than this have a second sketch, of a bit per one to two n-grams.
-LONG_SET = 2048
 LAST = 2
+PIVOTS, MANY = 4, 16
 
 
 def _frequencies(batches, k: int, bits: int):
@@ -97,6 +99,15 @@ def rare_first(text: bytes | None, known: grams.WordHashes, order: tuple[np.ndar
     return s, s[np.lexsort((s, sums[at], heavy[(s >> shift).astype(np.int64)]))]
 
 
+def long_set(percent: int) -> int:
+    """Sets larger than this have a second sketch, of a bit per one to two n-grams.
+
+    Up to here, the difference that a link allows is a third of the bits of the first at most;
+    chance alone makes half of them differ.
+    """
+    return 64 * SKETCH_LONGS * (100 + percent) // (6 * (100 - percent)) if percent < 100 else 64 * SKETCH_LONGS * 8
+
+
 def need(n, percent: int):
     """Least overlap of a set of n with any set that it links to."""
     return -(-percent * n // 100)
@@ -128,7 +139,7 @@ def _features(batches, order, k: int, percent: int):
                 out[1].append(grams.set_digest(s))
                 out[2].append(ranked[: len(s) - need(len(s), percent) + 1].view(np.int64))
                 out[3].append(parity_bits(s, 64 * SKETCH_LONGS).view(np.int64))
-                out[4].append(parity_bits(s, 1 << (len(s) - 1).bit_length()).tobytes() if len(s) > LONG_SET else None)
+                out[4].append(parity_bits(s, 1 << (len(s) - 1).bit_length()).tobytes() if len(s) > long_set(percent) else None)
             else:
                 for x in out[1:]:
                     x.append(None)
@@ -151,10 +162,11 @@ def _alike(batches, percent: int):
 
 
 def _sets(batches, k: int):
+    """Sets of texts, with the hash by which each was asked for."""
     known = grams.WordHashes()
     for batch in batches:
         sets = [np.unique(grams.ngrams(grams.word_hashes(grams.words(t), known), k)) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([grams.set_digest(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["digest", "shingles"])
+        yield pa.RecordBatch.from_arrays([pa.array([grams.set_digest(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), batch.column("handle")], ["digest", "shingles", "handle"])
 
 
 def _far(a: str, b: str) -> Column:
@@ -167,36 +179,73 @@ def _overlap(na: str, nb: str, percent: int) -> Column:
     return F.expr(f"(({percent} * ({na} + {nb}) + {99 + percent}) div {100 + percent})")
 
 
-def candidates(reps: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs ``a, b`` of classes that the filters let through."""
+def prefixes(reps: DataFrame) -> DataFrame:
+    """``key, rep, n, pos, held`` per n-gram that ``held`` > 1 classes have in their prefixes."""
     listed = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "key"))
-    shared = listed.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
+    shared = listed.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    return listed.join(shared, "key")
+
+
+def _told(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """Rows with what the join of candidates asks of a class, and the shared n-grams ``before``."""
     of_rep = Window.partitionBy("rep").orderBy("pos")
-    rows = (
-        listed.join(shared, "key")
-        .join(reps.select("rep", "parity"), "rep")
-        .withColumn("before", F.array_compact(F.array(*(F.lag("key", i).over(of_rep) for i in range(1, LAST + 1)))))
-    )
-    rows = settle(rows, "prefixes")
-    a, b = (rows.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "pos", "parity", "before"))) for s in "ab")
+    before = F.array_compact(F.array(*(F.lag("key", i).over(of_rep) for i in range(1, LAST + 1))))
+    return rows.join(reps, "rep").withColumn("before", before)
+
+
+def _may_link(percent: int) -> Column:
+    """Length, positional and parity filter on a shared n-gram of ``_a`` and ``_b``."""
     overlap = _overlap("n_a", "n_b", percent)
-    joined = a.join(
-        b,
-        (a["key"] == b["key"])
-        & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("rep_a") < F.col("rep_b"))))
-        & (100 * F.col("n_a") >= percent * F.col("n_b"))
+    return (
+        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         & (F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= overlap)
         & (_far("parity_a", "parity_b") <= F.col("n_a") + F.col("n_b") - 2 * overlap)
-        & ~F.arrays_overlap("before_a", "before_b"),
     )
+
+
+def _sides(rows: DataFrame) -> list[DataFrame]:
+    return [rows.select("key", *(F.col(c).alias(f"{c}_{s}") for c in rows.columns if c != "key")) for s in "ab"]
+
+
+def _finely(joined: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``a, b``; of long sets those that the finer sketches let through."""
     pairs = settle(joined.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "n_a", "n_b").distinct(), "sketched")
-    both_long = F.least("n_a", "n_b") > LONG_SET
+    both_long = F.least("n_a", "n_b") > long_set(percent)
     fine = reps.where("fine is not null").select("rep", "fine")
     a, b = (fine.select(F.col("rep").alias(c), F.col("fine").alias(f"fine_{c}")) for c in "ab")
     long = pairs.where(both_long).join(a, "a").join(b, "b").mapInArrow(partial(_alike, percent=percent), "a long, b long")
     return pairs.where(~both_long).select("a", "b").unionByName(long)
 
 
+def candidates(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``a, b`` of classes that the filters let through.
+
+    Where ``rows`` tell the ``root`` of a class, pairs of one root are left out.
+    """
+    a, b = _sides(rows)
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("rep_a") < F.col("rep_b")))
+    new = ordered & (F.col("root_a") != F.col("root_b")) if "root" in rows.columns else ordered
+    return _finely(a.join(b, (a["key"] == b["key"]) & new & _may_link(percent) & ~F.arrays_overlap("before_a", "before_b")), reps, percent)
+
+
+def pivot_pairs(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``a, b`` of classes with the pivots of their n-grams, linear in ``rows``.
+
+    Only n-grams that ``MANY`` classes have are asked: the pairs of fewer are few. The pivot
+    of an n-gram is one of those that have it, by a hash that takes ``PIVOTS`` turns,
+    so that a cluster has a few of them.
+    """
+    told = rows.where(F.col("held") >= MANY).select("key", "rep", "n", "pos").join(reps.select("rep", "parity"), "rep")
+    turn = F.xxhash64("rep", F.pmod("key", F.lit(PIVOTS)))
+    pivots = told.groupBy("key").agg(F.min(F.struct(turn.alias("_h"), "rep", "n", "pos", "parity")).alias("p"))
+    own, _ = _sides(told)
+    joined = own.join(pivots.select("key", *(F.col(f"p.{c}").alias(f"{c}_b") for c in ("rep", "n", "pos", "parity"))), "key").where((F.col("rep_a") != F.col("rep_b")) & _may_link(percent))
+    low, high = F.struct("n_a", "rep_a"), F.struct("n_b", "rep_b")
+    first = F.when(low < high, low).otherwise(F.struct(F.col("n_b").alias("n_a"), F.col("rep_b").alias("rep_a")))
+    last = F.when(low < high, high).otherwise(F.struct(F.col("n_a").alias("n_b"), F.col("rep_a").alias("rep_b")))
+    return _finely(joined.select(first.alias("f"), last.alias("l")).select("f.rep_a", "l.rep_b", "f.n_a", "l.n_b"), reps, percent)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """All links ``u, v`` with the copies of both, and fewer ones that hold the same components together.
 
@@ -213,7 +262,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFram
     apart = F.concat(F.array_except("shingles", "shingles_c"), F.array_except("shingles_c", "shingles"))
     told = sets.join(groups.join(centres, "root").drop("root"), "rep").join(middle, "centre").select("rep", "n", "copies", "centre", "n_c", apart.alias("apart"))
     reach = lambda size, x, y: size <= F.col(x) + F.col(y) - 2 * _overlap(x, y, percent)
-    told = settle(told.withColumn("near", reach(F.size("apart"), "n", "n_c")).drop("n_c").dropDuplicates(["rep"]), "apart")
+    told = settle(told.withColumn("near", reach(F.size("apart"), "n", "n_c")).drop("n_c"), "apart")
     a, b = (told.select(*(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "copies", "near", "apart"))) for s in "ab")
     checked = pairs.join(a, F.col("a") == F.col("rep_a")).join(b, F.col("b") == F.col("rep_b"))
     differ = F.size("apart_a") + F.size("apart_b") - 2 * F.size(F.array_intersect("apart_a", "apart_b"))
@@ -222,14 +271,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFram
     return links.drop("held"), settle(links.where("not held").select("u", "v").unionByName(star), "holding")
 
 
-def _joined(docs: DataFrame, k: int, percent: int, bits: int, most_broadcast: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (``doc_id, row, n, digest``), classes with their group, and links of classes.
+def _classes(docs: DataFrame, k: int, percent: int, bits: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Texts by handle, rows (``doc_id, row, n, digest``), classes, and one row of features a class.
 
     ``row`` names a row by id and text. A class carries its copies, its least id and the
-    first of its rows by id (null last), then by name. The texts to verify are asked for by
-    a hash of id and text, as an id may be null; a collision only fetches a text that no
-    digest asks for. The hashes are broadcast only after they are counted (8 MB at
-    most), else joined by a shuffle.
+    first of its rows by id (null last), then by name.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -241,17 +287,28 @@ def _joined(docs: DataFrame, k: int, percent: int, bits: int, most_broadcast: in
     classes = feats.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("copies"), first)
     classes = settle(classes, "classes")
     reps = settle(classes.select("rep", "digest", "copies").join(feats.select(F.col("rid").alias("rep"), "handle", "n", "prefix", "parity", "fine"), "rep"), "reps")
-    pairs = settle(candidates(reps, percent), "pairs")
+    return raw.select("handle", "text"), feats.select("doc_id", "row", "n", "digest"), classes, reps
+
+
+def _links(raw: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, percent: int, most_broadcast: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs verified on whole texts, see ``_verified``.
+
+    The texts are asked for by a hash of id and text, as an id may be null; a collision only
+    fetches a text that no digest asks for, so a class has one set. The hashes are broadcast only after they are
+    counted (8 MB at most), else joined by a shuffle.
+    """
+    pairs = settle(pairs, "pairs")
     ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
     asked = settle(ends.join(reps.select("rep", "digest", "handle", "n", "copies"), "rep"), "asked")
     handles = asked.select("handle").distinct()
     handles = F.broadcast(handles) if handles.count() <= most_broadcast else handles
-    sets = raw.join(handles, "handle", "left_semi").select("text").distinct().mapInArrow(partial(_sets, k=k), "digest binary, shingles array<long>")
-    sets = settle(sets.join(asked.select("digest", "rep", "n", "copies"), "digest").drop("digest"), "sets")
-    links, holding = _verified(pairs, sets, percent)
-    roots = components(holding)
-    grouped = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    return feats.select("doc_id", "row", "n", "digest"), settle(grouped, "grouped"), links
+    sets = raw.join(handles, "handle", "left_semi").distinct().mapInArrow(partial(_sets, k=k), "digest binary, shingles array<long>, handle long")
+    sets = settle(sets.join(asked.select("digest", "handle", "rep", "n", "copies"), ["digest", "handle"]).drop("digest", "handle"), "sets")
+    return _verified(pairs, sets, percent)
+
+
+def _grouped(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    return settle(classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep")), "grouped")
 
 
 def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int = 18, most_broadcast: int = 1_000_000) -> DataFrame:
@@ -260,7 +317,10 @@ def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int
     ``component_id`` is the least id reachable over links, ``n_links`` how many other
     rows a row links to.
     """
-    feats, grouped, links = _joined(docs, k, percent, bits, most_broadcast)
+    raw, feats, classes, reps = _classes(docs, k, percent, bits)
+    rows = settle(_told(prefixes(reps).drop("held"), reps.select("rep", "parity")), "prefixes")
+    links, holding = _links(raw, reps, candidates(rows, reps, percent), k, percent, most_broadcast)
+    grouped = _grouped(classes, components(holding))
     both = links.select(F.col("u").alias("rep"), F.col("copies_b").alias("_c")).unionByName(links.select(F.col("v").alias("rep"), F.col("copies_a").alias("_c")))
     degree = both.groupBy("rep").agg(F.sum("_c").alias("others"))
     least = grouped.groupBy("root").agg(F.min("label").alias("component_id"))
@@ -273,6 +333,24 @@ def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int
     )
 
 
+def near_copy_groups(docs: DataFrame, k: int, percent: int, bits: int, most_broadcast: int) -> tuple[DataFrame, DataFrame]:
+    """Rows, and classes with the ``root`` of their group; the links are not counted.
+
+    Classes first meet the pivots of their n-grams. What these links hold together is one
+    group, and n-grams that a single group has are done with. The join of what is left
+    only makes pairs across groups, so a large cluster costs its size and not its square.
+    """
+    raw, feats, classes, reps = _classes(docs, k, percent, bits)
+    rows = settle(prefixes(reps), "prefixes")
+    _, holding = _links(raw, reps, pivot_pairs(rows, reps, percent), k, percent, most_broadcast)
+    rooted = reps.select("rep", "parity").join(components(holding).withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    many = rows.where(F.col("held") >= MANY).select("key", "rep").join(rooted.select("rep", "root"), "rep")
+    done = settle(many.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low = _high").select("key"), "done")
+    told = settle(_told(rows.join(done, "key", "left_anti").drop("held"), rooted), "told")
+    _, across = _links(raw, reps, candidates(told, reps, percent), k, percent, most_broadcast)
+    return feats, _grouped(classes, components(settle(holding.unionByName(across), "holding")))
+
+
 def without_near_copies(docs: DataFrame, *, k: int = 5, percent: int = 80, bits: int = 18, most_broadcast: int = 500_000) -> DataFrame:
     """One row of every group of near copies: the one with the least id, then the least name.
 
@@ -280,7 +358,7 @@ def without_near_copies(docs: DataFrame, *, k: int = 5, percent: int = 80, bits:
     text has too, stays or goes on its own account; of rows equal in both one
     stays. Rows without words are in no group and all stay.
     """
-    feats, grouped, _ = _joined(docs, k, percent, bits, most_broadcast)
+    feats, grouped = near_copy_groups(docs, k, percent, bits, most_broadcast)
     stays = grouped.groupBy("root").agg(F.min("first").alias("_first")).select("root", F.col("_first.row").alias("stays"))
     told = feats.where("n > 0").join(grouped.join(stays, "root").select("digest", "stays"), "digest")
     repeated = settle(told.where("row = stays").groupBy("row").count().where("count > 1").select("row"), "repeated")

@@ -53,6 +53,30 @@ def test_jaccard_near_copies_of_rows_without_id(spark, broadcast):
     assert got == Counter({(None, 5, 3): 2, (5, 5, 3): 1, (7, 5, 3): 1, (None, 9, 1): 1, (9, 9, 1): 1})
 
 
+@pytest.mark.parametrize(("k", "percent"), [(5, 80), (3, 90)])
+def test_groups_without_all_pairs_equal_brute_force(spark, texts, k, percent):
+    rows = [*texts, *((10_000 + i, t) for i, t in near_copies(120)), *((20_000 + i, " ".join(f"chain{j}" for j in range(4 * i, 4 * i + 60))) for i in range(40))]
+    want = {i: c for i, (n, c, _) in brute.jaccard_groups(rows, k, percent).items() if n}
+    feats, grouped = jaccard_join.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string"), k, percent, 10, 1000)
+    least = grouped.groupBy("root").agg(F.min("label").alias("c"))
+    got = by_id(feats.join(grouped.join(least, "root").select("digest", "c"), "digest"), "c")
+    assert {i: c for i, (c,) in got.items()} == want
+
+
+def test_a_cluster_is_not_paired_with_itself(spark):
+    """300 different near copies: pivots hold them together, and no pair is left to make."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join([*words[:i], f"edit{i}", *words[i + 1 :]])) for i in range(300)]
+    made = []
+    finely, jaccard_join._finely = jaccard_join._finely, lambda joined, reps, percent: (made.append(joined.count()), finely(joined, reps, percent))[1]
+    try:
+        _, grouped = jaccard_join.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 10, 1000)
+        assert grouped.select("root").distinct().count() == 1
+    finally:
+        jaccard_join._finely = finely
+    assert made[0] <= 300 * 81 and made[1] == 0
+
+
 def test_near_copies_go_row_by_row(spark):
     a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
     near = lambda w: " ".join([*w[:-1], "edit"])
