@@ -18,6 +18,8 @@ texts of any length are counted whole; columns whose names clash with the added
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,14 +92,12 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, pseudo: f
         .groupBy("b")
         .agg(F.count(F.lit(1)).alias("r"), F.sum("t").alias("t"))
     )
-    import math
-
-    rows = counts.collect()  # 2 ** bits rows at most
-    all_r, all_t = sum(x.r for x in rows), sum(x.t for x in rows)
+    rows = [x.to_pylist() for x in counts.select("b", "r", "t").toArrow().columns]  # 2 ** bits rows at most
+    all_r, all_t = sum(rows[1]), sum(rows[2])
     ratios = [0] * (1 << bits)
     if all_t:
-        for x in rows:
-            ratios[x.b] = round(SCALE * math.log((x.t + pseudo) / (x.r / all_r * all_t + pseudo)))
+        for b, r, t in zip(*rows, strict=True):
+            ratios[b] = round(SCALE * math.log((t + pseudo) / (r / all_r * all_t + pseudo)))
     return ratios
 
 
@@ -118,25 +118,34 @@ def judge_quality(docs: DataFrame, ratios: list[int], *, threshold: float = THRE
     Columns of ``docs`` whose names clash with the added ones are replaced.
     """
     bits = len(ratios).bit_length() - 1
-    known = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<bigint>")  # folded to one literal
+    # A subquery of one row, as a literal of so many numbers fills every text of the plan. It is
+    # used once, so that it is folded into the projection and no row carries it.
+    known = docs.sparkSession.createDataFrame([(ratios,)], "ratios array<bigint>").scalar()
+
+    cut = round(threshold * SCALE)
 
-    def per_words(words: Column) -> Column:
+    def told(x: Column) -> Column:
+        n, repeats, total, grams = (x.getField(c) for c in ("n_words", "n_repeat_words", "sum", "grams"))
+        failed = (n < min_words) | (100 * repeats > 30 * n)
+        return F.struct(
+            n.alias("n_words"),
+            repeats.alias("n_repeat_words"),
+            failed.alias("base_failed"),
+            F.when(grams > 0, total / grams / SCALE).otherwise(F.lit(0.0)).alias("score"),
+            (~failed & (total >= F.lit(cut) * grams)).alias("kept"),
+        )
+
+    def per_words(ratio: Column, words: Column) -> Column:
         def per_hash(h: Column) -> Column:
-            b = _buckets(h, bits)
-            return F.struct(
-                F.size(h).cast("long").alias("n_words"),
-                _repeats(h, width).alias("n_repeat_words"),
-                bind(b, lambda x: F.struct(F.size(x).cast("long").alias("n"), F.aggregate(x, F.lit(0).cast("long"), lambda s, i: s + F.get(known, i)).alias("sum"))).alias("ratio"),
-            )
+            def summed(b: Column) -> Column:
+                total = F.aggregate(b, F.lit(0).cast("long"), lambda s, i: s + F.get(ratio, i))
+                return bind(F.struct(F.size(h).cast("long").alias("n_words"), _repeats(h, width).alias("n_repeat_words"), total.alias("sum"), F.size(b).cast("long").alias("grams")), told)
+
+            return bind(_buckets(h, bits), summed)
 
         return bind(_hashes(words), per_hash)
 
-    added = docs.withColumn("_w", per_words(words_of(F.col("text")))).withColumns(rule_columns(F.col("text")))
-    cut = round(threshold * SCALE)
-    return (
-        added.withColumns({"n_words": F.col("_w.n_words"), "n_repeat_words": F.col("_w.n_repeat_words")})
-        .withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
-        .withColumn("score", F.when(F.col("_w.ratio.n") > 0, F.col("_w.ratio.sum") / F.col("_w.ratio.n") / SCALE).otherwise(F.lit(0.0)))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("_w.ratio.sum") >= F.lit(cut) * F.col("_w.ratio.n")))
-        .drop("_w")
-    )
+    # One expression gives all that rests on the words: a filter on one of its fields evaluates it once.
+    with_known = docs.withColumn("__known", known)
+    judged = with_known.withColumn("__w", bind(F.col("__known"), lambda k: per_words(k, words_of(F.col("text"))))).drop("__known")
+    return judged.withColumns(rule_columns(F.col("text")) | {c: F.col(f"__w.{c}") for c in ("n_words", "n_repeat_words", "base_failed", "score", "kept")}).drop("__w")
