@@ -19,7 +19,8 @@ class, and classes are joined:
 ``jaccard_groups`` counts links, so it makes every pair that links. ``without_near_copies`` only
 needs groups: it links by pivots first, and then makes only pairs across the groups found.
 
-No cap anywhere: only n-grams that a single class has in its prefix are dropped.
+No cap anywhere: only n-grams that a single class has in its prefix are dropped, and one that
+more than ``SPLIT`` classes have is dealt over tasks by parts of them.
 
 Defined cases: a text without words, or null, has no set and links with nothing
 (its component is its own id); a text of fewer words than ``k`` is one n-gram;
@@ -45,6 +46,7 @@ from kinloom.llm.graph import components
 SKETCH_LONGS = 8
 LAST = 2
 PIVOTS, MANY = 4, 16
+SPLIT = 1024
 
 
 def _frequencies(batches, k: int, bits: int):
@@ -207,6 +209,19 @@ def _sides(rows: DataFrame) -> list[DataFrame]:
     return [rows.select("key", *(F.col(c).alias(f"{c}_{s}") for c in rows.columns if c != "key")) for s in "ab"]
 
 
+def _n_parts() -> Column:
+    """Into how many parts the classes of an n-gram are split."""
+    return F.ceil(F.col("held") / SPLIT)
+
+
+def _own_part() -> Column:
+    return F.pmod(F.xxhash64("rep"), _n_parts())
+
+
+def _every_part() -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), _n_parts() - 1))
+
+
 def _finely(joined: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs ``a, b``; of long sets those that the finer sketches let through."""
     pairs = settle(joined.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "n_a", "n_b").distinct(), "sketched")
@@ -220,12 +235,19 @@ def _finely(joined: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 def candidates(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs ``a, b`` of classes that the filters let through.
 
-    Where ``rows`` tell the ``root`` of a class, pairs of one root are left out.
+    Where ``rows`` tell the ``root`` of a class, pairs of one root are left out. Of an n-gram
+    that many classes have, every part meets all of them in a task of its own.
     """
-    a, b = _sides(rows)
     ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("rep_a") < F.col("rep_b")))
     new = ordered & (F.col("root_a") != F.col("root_b")) if "root" in rows.columns else ordered
-    return _finely(a.join(b, (a["key"] == b["key"]) & new & _may_link(percent) & ~F.arrays_overlap("before_a", "before_b")), reps, percent)
+    accepted = new & _may_link(percent) & ~F.arrays_overlap("before_a", "before_b")
+    few, many = rows.where(F.col("held") <= SPLIT).drop("held"), rows.where(F.col("held") > SPLIT)
+    a, b = _sides(few)
+    part, _ = _sides(many.withColumn("part", _own_part()).drop("held"))
+    _, every = _sides(many.withColumn("part", _every_part()).drop("held"))
+    split = part.withColumnRenamed("part_a", "part").join(every.withColumnRenamed("part_b", "part"), ["key", "part"])
+    ends = ("rep_a", "rep_b", "n_a", "n_b")
+    return _finely(a.join(b, "key").where(accepted).select(*ends).unionByName(split.where(accepted).select(*ends)), reps, percent)
 
 
 def pivot_pairs(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -233,13 +255,15 @@ def pivot_pairs(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
     Only n-grams that ``MANY`` classes have are asked: the pairs of fewer are few. The pivot
     of an n-gram is one of those that have it, by a hash that takes ``PIVOTS`` turns,
-    so that a cluster has a few of them.
+    so that a cluster has a few of them. The classes of an n-gram come in parts, each with a copy of
+    the pivot.
     """
-    told = rows.where(F.col("held") >= MANY).select("key", "rep", "n", "pos").join(reps.select("rep", "parity"), "rep")
+    told = rows.where(F.col("held") >= MANY).select("key", "rep", "n", "pos", "held").join(reps.select("rep", "parity"), "rep")
     turn = F.xxhash64("rep", F.pmod("key", F.lit(PIVOTS)))
-    pivots = told.groupBy("key").agg(F.min(F.struct(turn.alias("_h"), "rep", "n", "pos", "parity")).alias("p"))
-    own, _ = _sides(told)
-    joined = own.join(pivots.select("key", *(F.col(f"p.{c}").alias(f"{c}_b") for c in ("rep", "n", "pos", "parity"))), "key").where((F.col("rep_a") != F.col("rep_b")) & _may_link(percent))
+    pivots = told.groupBy("key").agg(F.min(F.struct(turn.alias("_h"), "rep", "n", "pos", "parity")).alias("p"), F.max("held").alias("held"))
+    own, _ = _sides(told.withColumn("part", _own_part()).drop("held"))
+    pivots = pivots.select("key", _every_part().alias("part"), *(F.col(f"p.{c}").alias(f"{c}_b") for c in ("rep", "n", "pos", "parity")))
+    joined = own.withColumnRenamed("part_a", "part").join(pivots, ["key", "part"]).where((F.col("rep_a") != F.col("rep_b")) & _may_link(percent))
     low, high = F.struct("n_a", "rep_a"), F.struct("n_b", "rep_b")
     first = F.when(low < high, low).otherwise(F.struct(F.col("n_b").alias("n_a"), F.col("rep_b").alias("rep_a")))
     last = F.when(low < high, high).otherwise(F.struct(F.col("n_a").alias("n_b"), F.col("rep_a").alias("rep_b")))
@@ -318,7 +342,7 @@ def jaccard_groups(docs: DataFrame, *, k: int = 3, percent: int = 90, bits: int
     rows a row links to.
     """
     raw, feats, classes, reps = _classes(docs, k, percent, bits)
-    rows = settle(_told(prefixes(reps).drop("held"), reps.select("rep", "parity")), "prefixes")
+    rows = settle(_told(prefixes(reps), reps.select("rep", "parity")), "prefixes")
     links, holding = _links(raw, reps, candidates(rows, reps, percent), k, percent, most_broadcast)
     grouped = _grouped(classes, components(holding))
     both = links.select(F.col("u").alias("rep"), F.col("copies_b").alias("_c")).unionByName(links.select(F.col("v").alias("rep"), F.col("copies_a").alias("_c")))
@@ -346,7 +370,7 @@ def near_copy_groups(docs: DataFrame, k: int, percent: int, bits: int, most_broa
     rooted = reps.select("rep", "parity").join(components(holding).withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     many = rows.where(F.col("held") >= MANY).select("key", "rep").join(rooted.select("rep", "root"), "rep")
     done = settle(many.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low = _high").select("key"), "done")
-    told = settle(_told(rows.join(done, "key", "left_anti").drop("held"), rooted), "told")
+    told = settle(_told(rows.join(done, "key", "left_anti"), rooted), "told")
     _, across = _links(raw, reps, candidates(told, reps, percent), k, percent, most_broadcast)
     return feats, _grouped(classes, components(settle(holding.unionByName(across), "holding")))
 

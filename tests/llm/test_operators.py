@@ -36,8 +36,9 @@ def near_copies(n=40):
     return out
 
 
-@pytest.mark.parametrize("broadcast", [1_000_000, 0])
-def test_jaccard_group_of_near_copies(spark, broadcast):
+@pytest.mark.parametrize(("broadcast", "split"), [(1_000_000, 1024), (0, 1024), (1_000_000, 3)])
+def test_jaccard_group_of_near_copies(spark, monkeypatch, broadcast, split):
+    monkeypatch.setattr(jaccard_join, "SPLIT", split)
     rows = near_copies()
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = by_id(jaccard_join.jaccard_groups(df, bits=8, most_broadcast=broadcast), "n_shingles", "component_id", "n_links")
@@ -53,8 +54,9 @@ def test_jaccard_near_copies_of_rows_without_id(spark, broadcast):
     assert got == Counter({(None, 5, 3): 2, (5, 5, 3): 1, (7, 5, 3): 1, (None, 9, 1): 1, (9, 9, 1): 1})
 
 
-@pytest.mark.parametrize(("k", "percent"), [(5, 80), (3, 90)])
-def test_groups_without_all_pairs_equal_brute_force(spark, texts, k, percent):
+@pytest.mark.parametrize(("k", "percent", "split"), [(5, 80, 1024), (3, 90, 1024), (5, 80, 5)])
+def test_groups_without_all_pairs_equal_brute_force(spark, monkeypatch, texts, k, percent, split):
+    monkeypatch.setattr(jaccard_join, "SPLIT", split)
     rows = [*texts, *((10_000 + i, t) for i, t in near_copies(120)), *((20_000 + i, " ".join(f"chain{j}" for j in range(4 * i, 4 * i + 60))) for i in range(40))]
     want = {i: c for i, (n, c, _) in brute.jaccard_groups(rows, k, percent).items() if n}
     feats, grouped = jaccard_join.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string"), k, percent, 10, 1000)
