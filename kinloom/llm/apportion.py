@@ -13,7 +13,8 @@ All steps are DataFrame operations:
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 sorted last; empty tables give no rows; repeated rows each get their own place;
-rows with equal id and size are interchangeable; other columns are ignored.
+rows with equal id and size are interchangeable; rows without id are drawn by their text,
+so that they spread over the shards like others; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,12 @@ def seeded(seed: str, *parts: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), *(F.coalesce(p.cast("string"), F.lit("\0")) for p in parts)).cast("binary"))
 
 
+def draw(seed: str) -> Column:
+    """The seeded order of rows: by id, of rows without id by text."""
+    doc_id = F.col("doc_id")
+    return F.when(doc_id.isNull(), seeded(seed, doc_id, F.col("text"))).otherwise(seeded(seed, doc_id))
+
+
 def hex_long(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
 
@@ -111,7 +118,7 @@ def mix_sources(
             "source",
             F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias("source_key"),
             n_words(F.col("text")).alias("size"),
-            seeded(seed, F.col("doc_id")).alias("_draw"),
+            draw(seed).alias("_draw"),
         ),
         "mix",
     )

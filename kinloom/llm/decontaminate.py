@@ -7,9 +7,11 @@
    for the least demanding item of the class a passage is cut, with as many words on each
    side as an alignment that scores enough can span for the class's longest item.
    So the reach of a hit follows the items that have it, not the longest of all.
-3. Passages are all that leaves the scan. Hits join the items' k-grams by hash, however
-   frequent they are. A passage and an item that share enough (a tenth of the item's,
-   two at least, or the only one) are a candidate pair.
+3. Passages are all that leaves the scan. Their hits join the seeds of the items by hash: the
+   rarest k-grams of each, by the number of passages that hold them. A passage and an item
+   that share enough k-grams (a tenth of the item's, two at least, or the only one) are a
+   candidate pair. Of ``n`` k-grams of which ``m`` must be shared, one is among the ``n - m + 1``
+   rarest, so the commonest ``m - 1`` are no seeds and no pair is lost for it.
 4. Local alignment of words (match 2, other word -1, gap -1) scores the pair as a
    share of the best possible, so edits, insertions and swaps cost in
    proportion. Pairs of at least ``least`` are leaks.
@@ -34,7 +36,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinloom.llm import grams
@@ -182,6 +184,19 @@ def passages_of(docs: DataFrame, benchmark: DataFrame, k: int, least: float) ->
     return items, settle(found.withColumn("pid", F.monotonically_increasing_id()), "passages")
 
 
+def rare_seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
+    """``iid, class, gram``: the k-grams by which an item is looked for.
+
+    Those that no passage holds are left out first; of the ``n`` that are held, the
+    ``n - need + 1`` that the fewest passages hold are seeds, none where ``n < need``.
+    """
+    held = hits.groupBy("gram", "class").agg(F.count(F.lit(1)).alias("held"))
+    listed = items.select("iid", "need", "class", F.explode("grams").alias("gram")).join(held, ["gram", "class"])
+    of_item = Window.partitionBy("iid")
+    ranked = listed.withColumn("rank", F.row_number().over(of_item.orderBy("held", "gram"))).withColumn("n", F.count(F.lit(1)).over(of_item))
+    return ranked.where("rank <= n - need + 1").select("iid", "class", "gram")
+
+
 def _scored(docs: DataFrame, benchmark: DataFrame, k: int, least: float) -> DataFrame:
     """Every passage and item that align well enough, see ``FOUND``."""
     cut = passages_of(docs, benchmark, k, least)
@@ -189,11 +204,10 @@ def _scored(docs: DataFrame, benchmark: DataFrame, k: int, least: float) -> Data
         return docs.sparkSession.createDataFrame([], FOUND)
     items, passages = cut
     hits = passages.select("pid", "class", F.explode("grams").alias("gram"))
-    wanted = items.select("iid", "need", "class", F.explode("grams").alias("gram"))
-    shared = hits.join(wanted, ["gram", "class"]).groupBy("pid", "iid", "need").agg(F.count(F.lit(1)).alias("found"))
-    named = shared.where("found >= need").select("pid", "iid").join(items.select("iid", "item_id", F.col("words").alias("item"), "n_words"), "iid")
-    ready = named.join(passages.select("pid", "row", "doc_id", "start", "words"), "pid")
-    return ready.mapInArrow(_aligned, FOUND).where(F.col("score") >= least)
+    pairs = hits.join(rare_seeds(items, hits), ["gram", "class"]).select("pid", "iid").distinct()
+    named = pairs.join(items.select("iid", "item_id", "n_words", "need", F.col("words").alias("item"), F.col("grams").alias("own")), "iid")
+    ready = named.join(passages.select("pid", "row", "doc_id", "start", "words", "grams"), "pid").where(F.size(F.array_intersect("grams", "own")) >= F.col("need"))
+    return ready.select("row", "doc_id", "item_id", "start", "item", "words", "n_words").mapInArrow(_aligned, FOUND).where(F.col("score") >= least)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, k: int = 3, least: float = 0.6) -> DataFrame:

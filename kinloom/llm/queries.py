@@ -90,7 +90,7 @@ from p left join f using (payload_digest)
 #: The mixture, with every quotient listed and ranked instead of a window of them.
 MIXTURE_SQL = r"""
 with d as (
-  select doc_id, source, coalesce('=' || source, 'null') as sk, md5('mix|' || cast(doc_id as varchar)) as draw,
+  select doc_id, source, coalesce('=' || source, 'null') as sk, md5('mix|' || coalesce(cast(doc_id as varchar), chr(0) || '|' || coalesce(text, chr(0)))) as draw,
     cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
   from documents),
 s0 as (select sk, any_value(source) as source, cast(sum(size) as bigint) as source_size, count(*) as docs from d group by sk),

@@ -239,6 +239,16 @@ def test_mix(spark, sf, texts, odd, none):
     assert [(r.size, r.target, r.taken) for r in blank] == [(0, 0.0, 0)] * 3
 
 
+def test_mix_spreads_rows_without_id(spark):
+    rows = [(None, f"t{i} " * (i + 1), "a", i) for i in range(60)] + [(None, None, "a", None), (None, "t3 " * 4, "a", 1), (5, "x y", "b", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+    assert df.select(apportion.draw("mix").alias("d")).distinct().count() == 62
+    got = apportion.mix_sources(df, docs_per_shard=4, block_words=2).collect()
+    check_mix(got, 20)
+    again = apportion.mix_sources(df.orderBy(F.desc("n")), docs_per_shard=4, block_words=2).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_mix_block_by_block(texts, docs):
     """Every block of every shard laid out and drawn one by one."""
     draw = lambda *x: hashlib.md5("|".join(["mix", *map(str, x)]).encode()).hexdigest()
@@ -366,6 +376,28 @@ def test_an_edited_item_in_many_copies_is_found(spark, every):
     assert {r.doc_id for r in got.collect()} == {i for i, _ in rows}
 
 
+def test_seeds_are_the_rarest_and_lose_nothing(spark):
+    """Items that open with a stock phrase, which every document holds."""
+    stock = [f"stock{j}" for j in range(8)]
+    items = [[*stock, *(f"i{i}w{j}" for j in range(40))] for i in range(12)]
+    edited = [[w if j % 4 else f"e{j}" for j, w in enumerate(item)] for item in items]
+    rows = [(i, " ".join([*stock, f"lead{i}", *edited[i % 12], f"tail{i}", *stock] if i % 2 else [*stock, *(f"c{i}w{j}" for j in range(60)), *stock])) for i in range(48)]
+    df = spark.createDataFrame([*rows, (99, None), (98, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(df, bench).collect()}
+    want = {(i, j) for i, t in rows for j, item in enumerate(items) if decontaminate.align([x.encode() for x in item], t.encode().split())[0] >= 0.6 * 2 * len(item)}
+    assert len(want) == 24 and got == want
+    found, passages = decontaminate.passages_of(df, bench, 3, 0.6)
+    hits = passages.select("pid", "class", F.explode("grams").alias("gram"))
+    frequent = {r.gram for r in hits.groupBy("gram").count().where("count >= 24").collect()}
+    of_items = {r.gram for r in found.select(F.explode("grams").alias("gram")).collect()}
+    seeds = Counter(r.gram in frequent for r in decontaminate.rare_seeds(found, hits).collect())
+    # 46 n-grams an item, so 5 are needed. Documents hold 6 stock ones of every item, and of the six
+    # items that they copy one of each of the 10 runs of three words between edits.
+    assert len(frequent & of_items) == 6
+    assert seeds == {True: 12 * (6 - 5 + 1), False: 6 * 10}
+
+
 def test_leaks_cover_all_long_overlaps(spark, sf, texts):
     got = {(r.doc_id, r.item_id) for r in queries()["op1_decontaminate"](spark, sf).collect()}
     want = set()
