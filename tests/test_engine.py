@@ -51,6 +51,35 @@ def test_larger_caps_only_add(spark, sf):
     assert small.join(large, ["k", "entity_id", "cand"], "left_anti").count() == 0
 
 
+def large_sides(spark, repeated):
+    names = ["Acme Tools", "Acme Toys", "Ace Tools", "Zed", "", "Acme"]
+    one = lambda src, i: (i, src, f"S{src}-{i}", names[(i + src) % 6], f"{i % 4} Road, {'AB'[i % 2]}" if i % 5 else "", "US")
+    reference, others = [one(1, i) for i in range(30)], [one(2 + i % 2, i) for i in range(50)]
+    others += [(90, 2, "S1-3", "Acme", "", "US"), (91, 3, "S1-3", "Acme", "", "US")]  # an id of the reference
+    if repeated:  # ids with several records, one of them without any telling part
+        reference += [(3, 1, "S1-3", "Zed", "7 Road, B", "US"), (4, 1, "S1-4", "", "", "US"), (98, 1, "S1-5", "Zed", "", "US")]
+        others += [(92, 2, "S2-4", "Zed", "3 Road, A", "US"), (93, 2, "S2-6", "", "", "US"), (94, 2, "S2-6", "Zed Zed", "", "US")]
+    reference, others = records(spark, reference), records(spark, others)
+    return reference, B.capped_index(B.index_entries(others), 10**9, None)
+
+
+@pytest.mark.parametrize("cell", [2, 1024])
+@pytest.mark.parametrize("repeated", [False, True])
+def test_all_pairs_equal_candidate_pairs(spark, monkeypatch, repeated, cell):
+    monkeypatch.setattr(B, "CELL", cell)
+    reference, index = large_sides(spark, repeated)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    got = rows(B.all_pairs(reference, index, (), "k", "entity_id"))
+    assert len(got) > 500 and got == rows(B.candidate_pairs(reference, index, (), "k", "entity_id"))
+
+
+def test_uncapped_pairs_are_made_once(spark, sf):
+    from kinloom.plans.queries import candidates_city_cap
+
+    plan = candidates_city_cap(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "Aggregate" not in plan.split("Join Inner")[0]
+
+
 @pytest.mark.parametrize("max_bucket", [None, 3])
 def test_self_counts_equal_pairs(spark, max_bucket):
     names = ["Acme Tools", "Acme Toys", "Ace Tools", "Zed", "", "Acme"]
