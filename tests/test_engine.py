@@ -73,6 +73,24 @@ def test_all_pairs_equal_candidate_pairs(spark, monkeypatch, repeated, cell):
     assert len(got) > 500 and got == rows(B.candidate_pairs(reference, index, (), "k", "entity_id"))
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_pair_counts_equal_pairs(spark, repeated):
+    reference, index = large_sides(spark, repeated)
+    want = {}
+    for r in B.candidate_pairs(reference, index, (), "k", "entity_id").collect():
+        want.setdefault(r.entity_id, []).append(r.cand)
+    got = {r.entity_id: (r.n, r.first_cand, r.last_cand) for r in B.pair_counts(reference, index, (), "k", "entity_id").collect()}
+    assert got == {k: (len(v), min(v), max(v)) for k, v in want.items()}
+
+
+def test_uncapped_counts_make_no_pair(spark, sf, monkeypatch):
+    from kinloom.plans.queries import candidates_uncapped
+
+    for name in ("candidate_pairs", "all_pairs", "_meet"):
+        monkeypatch.setattr(B, name, None, raising=False)
+    assert candidates_uncapped(spark, sf).count() > 0
+
+
 def test_uncapped_pairs_are_made_once(spark, sf):
     from kinloom.plans.queries import candidates_city_cap
 
