@@ -73,6 +73,20 @@ def test_all_pairs_equal_candidate_pairs(spark, monkeypatch, repeated, cell):
     assert len(got) > 500 and got == rows(B.candidate_pairs(reference, index, (), "k", "entity_id"))
 
 
+@pytest.mark.parametrize("cell, wide", [(2, 3), (3, 2), (1024, 3), (2, 8192)])
+@pytest.mark.parametrize("repeated", [False, True])
+def test_all_pairs_leave_the_join_as_arrays(spark, monkeypatch, repeated, cell, wide):
+    monkeypatch.setattr(B, "CELL", cell)
+    monkeypatch.setattr(B, "WIDE", wide)
+    reference, index = large_sides(spark, repeated)
+    found = B.all_pairs(reference, index, (), "k", "entity_id")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(found) == rows(B.candidate_pairs(reference, index, (), "k", "entity_id"))
+    # Ids are told apart only above the join, which meets a query with arrays of them.
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
+    assert "explode(cands" in above
+
+
 @pytest.mark.parametrize("repeated", [False, True])
 def test_pair_counts_equal_pairs(spark, repeated):
     reference, index = large_sides(spark, repeated)
